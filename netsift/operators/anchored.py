@@ -233,7 +233,7 @@ def anchored_windows(
     position ``width``: rows below that get ``win_start`` 0 and no opening row (used for
     "every time a running total passes a threshold").
     """
-    spark = df.sparkSession
+    df = df.drop("win_start", "win_first")   # of an earlier pass
     order = order or []
     x = F.col(position) if isinstance(position, str) else position
     w = width if isinstance(width, Column) else F.lit(width)

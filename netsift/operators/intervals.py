@@ -1,9 +1,9 @@
 """Regularity of the gaps between a key's events, and the beacon detectors built on it.
 
 A busy pair may hold a large part of all events, so gaps are taken inside
-(key, time slice) partitions and only the slice edges are joined up per key.  Everything
-a detector needs but the medians merges from slice summaries; medians are computed for the keys
-that passed every other gate, from counts of equal gaps.
+(key, time slice) partitions and only the slice edges are joined up per key.  Everything a
+detector needs but the medians merges from slice summaries; medians are computed for the keys
+that passed every other gate.
 """
 
 from __future__ import annotations
@@ -19,103 +19,89 @@ TRIPLE = ["id_orig_h", "id_resp_h", "id_resp_p"]
 SLICE_SECONDS = 600
 
 
-def _timed(df: DataFrame, keys: list[str], ts: str, slice_seconds: int, carry: list[str] = ()) -> DataFrame:
+def _timed(df: DataFrame, keys: list[str], ts: str, slice_seconds: int) -> DataFrame:
     t = F.unix_micros(F.col(ts).cast("timestamp"))
-    return (df.select(*keys, *carry, t.alias("t")).dropna(subset=[*keys, "t"])
+    return (df.select(*keys, t.alias("t")).dropna(subset=[*keys, "t"])
             .withColumn("slice", F.floor(F.col("t") / (slice_seconds * 1_000_000)).cast("long")))
 
 
-def _slice_gaps(timed: DataFrame, keys: list[str]) -> DataFrame:
-    w = Window.partitionBy(*keys, "slice").orderBy("t")
-    return timed.withColumn("gap", F.col("t") - F.lag("t").over(w))
+def _key_slices(timed: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per (key, slice) with the gap across its leading edge and the totals of the key.
 
-
-def _seams(edges: DataFrame, keys: list[str]) -> DataFrame:
-    """Gap from the previous slice's last event to this slice's first."""
-    w = Window.partitionBy(*keys).orderBy("slice")
-    return edges.withColumn("seam", F.col("t_first") - F.lag("t_last").over(w))
-
-
-def gap_rows(df: DataFrame, keys: list[str], ts: str = "ts", slice_seconds: int = SLICE_SECONDS,
-             carry: list[str] = ()) -> DataFrame:
-    """One row per gap between consecutive events of a key, in microseconds."""
-    inner = _slice_gaps(_timed(df, keys, ts, slice_seconds, carry), keys)
-    group = [*keys, *carry]
-    edges = inner.groupBy(*group, "slice").agg(F.min("t").alias("t_first"), F.max("t").alias("t_last"))
-    seams = _seams(edges, keys).where("seam IS NOT NULL").select(*group, F.col("seam").alias("gap"))
-    return inner.where("gap IS NOT NULL").select(*group, "gap").unionByName(seams)
+    The rows are shuffled once, by (key, slice); only the slice summaries are shuffled by key.
+    """
+    in_slice = Window.partitionBy(*keys, "slice").orderBy("t")
+    along = Window.partitionBy(*keys).orderBy("slice")
+    whole = Window.partitionBy(*keys)
+    gap = F.col("gap") / 1e6
+    edges = timed.withColumn("gap", F.col("t") - F.lag("t").over(in_slice)).groupBy(*keys, "slice").agg(
+        F.count("*").alias("s_n"), F.min("t").alias("t_first"), F.max("t").alias("t_last"),
+        F.count("gap").alias("s_gaps"), F.avg(gap).alias("s_mean"), F.var_pop(gap).alias("s_var"),
+        F.min(gap).alias("s_min"), F.max(gap).alias("s_max"))
+    totals = (edges.withColumn("seam", F.col("t_first") - F.lag("t_last").over(along))
+              .withColumn("n", F.sum("s_n").over(whole)).withColumn("from_us", F.min("t_first").over(whole))
+              .withColumn("to_us", F.max("t_last").over(whole)))
+    seam = F.col("seam") / 1e6
+    mean = F.try_divide((F.col("to_us") - F.col("from_us")) / 1e6, (F.col("n") - 1).cast("double"))
+    spread = (F.coalesce(F.col("s_gaps") * (F.col("s_var") + F.pow(F.col("s_mean") - F.col("mean"), 2)), F.lit(0.0))
+              + F.coalesce(F.pow(seam - F.col("mean"), 2), F.lit(0.0)))
+    var = F.try_divide(F.sum(spread).over(whole), (F.col("n") - 1).cast("double"))
+    return (totals.withColumn("mean", mean).withColumn("var", var)
+            .withColumn("min", F.min(F.least("s_min", seam)).over(whole))
+            .withColumn("max", F.max(F.greatest("s_max", seam)).over(whole))
+            .select(*keys, "slice", "seam", "n", (F.col("n") - 1).alias("n_gaps"), "mean", "var",
+                    F.sqrt("var").alias("std"), "min", "max", "from_us", "to_us"))
 
 
 def gap_stats(df: DataFrame, keys: list[str], ts: str = "ts", slice_seconds: int = SLICE_SECONDS) -> DataFrame:
-    """Per key: n events, n_gaps, mean, std, var (population), min, max (seconds), t_first, t_last."""
-    inner = _slice_gaps(_timed(df, keys, ts, slice_seconds), keys)
-    g = F.col("gap") / 1e6
-    edges = inner.groupBy(*keys, "slice").agg(
-        F.count("*").alias("n"), F.min("t").alias("t_first"), F.max("t").alias("t_last"),
-        F.count("gap").alias("m"), F.avg(g).alias("mean"), F.var_pop(g).alias("var"),
-        F.min(g).alias("g_min"), F.max(g).alias("g_max"))
-    whole = Window.partitionBy(*keys)
-    joined = _seams(edges, keys).withColumn("seam", F.col("seam") / 1e6).withColumn(
-        "key_mean", F.try_divide(
-            (F.max("t_last").over(whole) - F.min("t_first").over(whole)) / 1e6, F.sum("n").over(whole) - 1))
-    centre = F.col("key_mean")
-    spread = (F.coalesce(F.col("m") * (F.col("var") + F.pow(F.col("mean") - centre, 2)), F.lit(0.0))
-              + F.coalesce(F.pow(F.col("seam") - centre, 2), F.lit(0.0)))
-    per_key = joined.groupBy(*keys).agg(
-        F.sum("n").alias("n"), F.first("key_mean").alias("mean"), F.sum(spread).alias("m2"),
-        F.min(F.least("g_min", "seam")).alias("min"), F.max(F.greatest("g_max", "seam")).alias("max"),
-        F.min("t_first").alias("t_first"), F.max("t_last").alias("t_last"))
-    gaps = F.col("n") - 1
-    var = F.try_divide(F.col("m2"), gaps.cast("double"))
-    return (per_key.withColumn("n_gaps", gaps).withColumn("var", var).withColumn("std", F.sqrt(var)).drop("m2"))
+    """Per key: n events, n_gaps, mean, var and std (population), min, max in seconds, from_us, to_us."""
+    slices = _key_slices(_timed(df, keys, ts, slice_seconds), keys)
+    return slices.where("seam IS NULL").drop("slice", "seam")   # the first slice of each key
 
 
 def _cv(mean: Column, std: Column, when_zero: float) -> Column:
     return F.when(mean > 0, std / mean).otherwise(F.lit(when_zero))
 
 
-def gap_medians(df: DataFrame, keys: list[str], ts: str = "ts", carry: list[str] = (),
-                slice_seconds: int = SLICE_SECONDS) -> DataFrame:
-    """Exact median gap and median absolute deviation (seconds) per key.
+def _gap_medians(timed: DataFrame, slices: DataFrame, keys: list[str], carry: list[str]) -> DataFrame:
+    """Exact median gap and median absolute deviation (seconds) of the keys in ``slices``.
 
-    Equal gaps are counted first, so the windows run over the distinct gap lengths of a key.
+    Equal gaps are counted before anything is gathered by key: a key of time span T has at most
+    sqrt(2T) distinct gap lengths, a few million microsecond values in a year, however many rows it has.
     """
     group = [*keys, *carry]
-    counts = gap_rows(df, keys, ts, slice_seconds, carry).groupBy(*group, "gap").agg(F.count("*").alias("c"))
+    in_slice = Window.partitionBy(*keys, "slice").orderBy("t")
+    gap = F.coalesce(F.col("t") - F.lag("t").over(in_slice), F.col("seam"))
+    rows = timed.join(slices.select(*group, "slice", "seam"), [*keys, "slice"]).withColumn("gap", gap)
+    counts = rows.where("gap IS NOT NULL").groupBy(*group, "gap").agg(F.count("*").alias("c"))
     whole = Window.partitionBy(*keys)
 
     def so_far(col: str) -> Column:
         return F.sum("c").over(whole.orderBy(col).rowsBetween(Window.unboundedPreceding, Window.currentRow))
 
-    total = F.sum("c").over(whole)
-    low, high = F.expr("(total + 1) div 2"), F.expr("total div 2 + 1")
+    low, high = F.expr("n div 2"), F.expr("(n - 1) div 2 + 1")   # the middle ranks among n - 1 gaps
 
     def middle(col: str, cum: str, pick) -> Column:
         return (pick(F.when(F.col(cum) >= low, F.col(col))) + pick(F.when(F.col(cum) >= high, F.col(col)))) / 2
 
-    ranked = counts.withColumn("total", total).withColumn("cum", so_far("gap"))
-    centred = ranked.withColumn("median", middle("gap", "cum", lambda c: F.min(c).over(whole)))
+    centred = counts.withColumn("cum", so_far("gap")).withColumn(
+        "median", middle("gap", "cum", lambda c: F.min(c).over(whole)))
     deviating = (centred.withColumn("dev", F.abs(F.col("gap") - F.col("median")))
                  .withColumn("cum_dev", so_far("dev")))
     return deviating.groupBy(*group).agg(
-        (F.first("median") / 1e6).alias("median"),
-        (middle("dev", "cum_dev", F.min) / 1e6).alias("mad"))
+        (F.first("median") / 1e6).alias("median"), (middle("dev", "cum_dev", F.min) / 1e6).alias("mad"))
 
 
 def beacons(df: DataFrame, cv_threshold: float = 0.3, min_connections: int = 10, min_interval: float = 5.0,
             max_interval: float = 7200.0, keys: list[str] = TRIPLE, ts: str = "ts",
             slice_seconds: int = SLICE_SECONDS) -> DataFrame:
     """Regular connection series per source, destination and port, best confidence first."""
-    cv = _cv(F.col("mean"), F.col("std"), 999.0)
-    passed = (gap_stats(df, keys, ts, slice_seconds).where(F.col("n") >= min_connections)
-              .withColumn("raw_cv", cv)
+    timed = _timed(df, keys, ts, slice_seconds)
+    passed = (_key_slices(timed, keys).where(F.col("n") >= min_connections)
+              .withColumn("raw_cv", _cv(F.col("mean"), F.col("std"), 999.0))
               .where(F.round("mean", 3).between(min_interval, max_interval)
-                     & (F.round("raw_cv", 4) <= cv_threshold))
-              .select(*keys, "n", "mean", "std", "raw_cv", F.col("t_first").alias("from_us"),
-                      F.col("t_last").alias("to_us")))
-    carry = ["n", "mean", "std", "raw_cv", "from_us", "to_us"]
-    events = df.select(*keys, ts).join(passed, keys)
-    scored = gap_medians(events, keys, ts, carry, slice_seconds)
+                     & (F.round("raw_cv", 4) <= cv_threshold)))
+    scored = _gap_medians(timed, passed, keys, ["n", "mean", "std", "raw_cv", "from_us", "to_us"])
     jitter = F.when(F.col("median") > 0, F.col("mad") / F.col("median")).otherwise(F.lit(999.0))
     confidence = F.least(
         F.lit(100.0),

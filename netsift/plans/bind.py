@@ -56,7 +56,7 @@ VIEWS["conn"] = """
               WHEN 'error' THEN '198.51.100.7' WHEN 'signup' THEN '10.0.0.5' ELSE '172.20.1.9' END AS id_resp_h,
          CASE event_type WHEN 'click' THEN 80 WHEN 'view' THEN 443 WHEN 'error' THEN 6606
               WHEN 'signup' THEN 445 ELSE 3389 END AS id_resp_p,
-         CASE WHEN k % 10 = 0 THEN 'udp' ELSE 'tcp' END AS proto, value / 10 AS duration,
+         CASE WHEN k % 10 = 0 THEN 'udp' ELSE 'tcp' END AS proto, value / 6.1 AS duration,
          CAST(round(value * 1000000) AS BIGINT) AS orig_bytes, k * 1000 AS resp_bytes,
          CASE WHEN event_type = 'error' THEN 'S0' ELSE 'SF' END AS conn_state,
          CASE WHEN event_type = 'error' THEN 'S' ELSE 'ShADadFf' END AS history, k
@@ -78,7 +78,7 @@ def conn(spark: SparkSession, sf: str) -> DataFrame:
         _by_type("203.0.113.10", "203.0.113.20", "198.51.100.7", "10.0.0.5", "172.20.1.9").alias("id_resp_h"),
         _by_type(80, 443, 6606, 445, 3389).alias("id_resp_p"),
         F.when(F.col("k") % 10 == 0, "udp").otherwise("tcp").alias("proto"),
-        (F.col("value") / 10).alias("duration"),
+        (F.col("value") / 6.1).alias("duration"),
         F.round(F.col("value") * 1000000).cast("long").alias("orig_bytes"), (F.col("k") * 1000).alias("resp_bytes"),
         F.when(error, "S0").otherwise("SF").alias("conn_state"),
         F.when(error, "S").otherwise("ShADadFf").alias("history"), "k")
@@ -88,7 +88,7 @@ VIEWS["lan"] = """
   SELECT event_id AS uid, ts, t, src AS id_orig_h, '10.0.0.' || k AS id_resp_h,
          CASE event_type WHEN 'click' THEN 445 WHEN 'view' THEN 139 WHEN 'error' THEN 135
               WHEN 'signup' THEN 3389 ELSE 22 END AS id_resp_p,
-         'tcp' AS proto, value / 10 AS duration, CAST(round(value * 10) AS BIGINT) AS orig_bytes,
+         'tcp' AS proto, value / 6.1 AS duration, CAST(round(value * 10) AS BIGINT) AS orig_bytes,
          k * 1000 AS resp_bytes, CASE WHEN k % 2 = 0 THEN 'S' ELSE 'ShADadFf' END AS history
   FROM ev"""
 NEEDS["lan"] = ["ev"]
@@ -98,7 +98,7 @@ def lan(spark: SparkSession, sf: str) -> DataFrame:
     return events(spark, sf).select(
         F.col("event_id").alias("uid"), "ts", F.col("src").alias("id_orig_h"),
         F.concat(F.lit("10.0.0."), "k").alias("id_resp_h"), _by_type(445, 139, 135, 3389, 22).alias("id_resp_p"),
-        F.lit("tcp").alias("proto"), (F.col("value") / 10).alias("duration"),
+        F.lit("tcp").alias("proto"), (F.col("value") / 6.1).alias("duration"),
         F.round(F.col("value") * 10).cast("long").alias("orig_bytes"), (F.col("k") * 1000).alias("resp_bytes"),
         F.when(F.col("k") % 2 == 0, "S").otherwise("ShADadFf").alias("history"))
 
@@ -235,7 +235,7 @@ VIEWS["rdp"] = """
   SELECT event_id AS uid, ts, t,
          CASE WHEN k % 3 = 0 THEN '198.51.100.' || user_id % 250 ELSE src END AS id_orig_h,
          '10.0.0.' || k % 7 AS id_resp_h, CASE WHEN k % 11 = 0 THEN 13389 ELSE 3389 END AS id_resp_p,
-         'user' || user_id AS cookie, k % 4 AS security_protocol, value / 10 AS duration,
+         'user' || user_id AS cookie, k % 4 AS security_protocol, value / 6.1 AS duration,
          CAST(round(value * 20) AS BIGINT) AS orig_bytes
   FROM ev"""
 NEEDS["rdp"] = ["ev"]
@@ -249,7 +249,7 @@ def rdp(spark: SparkSession, sf: str) -> DataFrame:
         F.expr("concat('10.0.0.', k % 7)").alias("id_resp_h"),
         F.when(F.col("k") % 11 == 0, 13389).otherwise(3389).alias("id_resp_p"),
         F.concat(F.lit("user"), "user_id").alias("cookie"), (F.col("k") % 4).alias("security_protocol"),
-        (F.col("value") / 10).alias("duration"), F.round(F.col("value") * 20).cast("long").alias("orig_bytes"))
+        (F.col("value") / 6.1).alias("duration"), F.round(F.col("value") * 20).cast("long").alias("orig_bytes"))
 
 
 VIEWS["notices"] = """
