@@ -35,4 +35,9 @@ def query(name: str, sql: str | None = None, views: list[str] = (), recursive: b
 
 def load() -> None:
     """Import the modules that register queries."""
-    from netsift.plans import queries_intervals, queries_traffic  # noqa: F401
+    from netsift.plans import (  # noqa: F401
+        queries_alerts,
+        queries_intervals,
+        queries_models,
+        queries_traffic,
+    )
