@@ -83,7 +83,7 @@ ch AS (SELECT domain, sub, c, count(*) AS n FROM (SELECT domain, sub, unnest({CH
 e AS (SELECT domain, -sum(n / len(sub)::DOUBLE * log2(n / len(sub)::DOUBLE)) AS entropy, count(*) AS kinds FROM ch GROUP BY domain)
 SELECT domain, len(sub)::INT AS length, round(entropy, 4) AS entropy,
   round(CASE WHEN vowels = 0 THEN letters ELSE (letters - vowels) / vowels END, 4) AS cv_ratio,
-  round(CASE WHEN len(sub) < 2 THEN 0 ELSE {_bigram_sql()} / (len(sub) - 1) END, 3)::DOUBLE AS bigram_score,
+  round(round((CASE WHEN len(sub) < 2 THEN 0 ELSE {_bigram_sql()} / (len(sub) - 1) END)::DECIMAL(20,8), 4), 3)::DOUBLE AS bigram_score,
   round(digits / len(sub)::DOUBLE, 4) AS digit_ratio,
   round((len(sub) - len(replace(sub, '-', ''))) / len(sub)::DOUBLE, 4) AS hyphen_ratio,
   round(vowels / len(sub)::DOUBLE, 4) AS vowel_ratio, round(kinds / len(sub)::DOUBLE, 4) AS unique_char_ratio,
