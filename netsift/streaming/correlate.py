@@ -24,9 +24,10 @@ def running_scores(alerts: DataFrame, bucket: str = "1 hour", watermark: str = "
             .where(F.col("threat_score") >= threshold))
 
 
-def upsert(scores: DataFrame, path: str, name: str = "incidents") -> StreamingQuery:
+def upsert(scores: DataFrame, path: str, name: str) -> StreamingQuery:
     """Write every changed row under its batch number, so a repeated batch replaces itself.
 
+    ``name`` is the query's own folder under the checkpoint folder; a restart continues from it.
     ``current`` over ``spark.read.parquet(path)`` gives the latest version of each row.
     """
 

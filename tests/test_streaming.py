@@ -1,4 +1,6 @@
 import json
+import os
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -6,6 +8,7 @@ from pyspark.sql import functions as F
 from netsift.operators import anchored, incidents, intervals, lateral, volume
 from netsift.streaming import correlate, ingest, windows
 
+BASE = 1_700_000_040     # event times near the epoch would be late for a stream's first watermark
 SCHEMA = "s double, src string, dst string, amount long, seq long"
 
 
@@ -16,13 +19,19 @@ def folder(tmp_path):
     return path
 
 
+def put(path, lines, at):
+    """Write a file with its own modification time: the file source reads oldest first."""
+    path.write_text("\n".join(map(json.dumps, lines)))
+    os.utime(path, (1_000_000 + at, 1_000_000 + at))
+
+
 def feed(folder, batches):
     for i, rows in enumerate(batches):
-        (folder / f"{i:03}.json").write_text("\n".join(json.dumps(dict(zip(("s", "src", "dst", "amount", "seq"), r))) for r in rows))
+        put(folder / f"{i:03}.json", [dict(zip(("s", "src", "dst", "amount", "seq"), r)) for r in rows], i)
 
 
 def stamped(df):
-    return df.withColumn("ts", F.timestamp_micros((F.col("s") * 1_000_000).cast("long")))
+    return df.withColumn("ts", F.timestamp_micros(((F.col("s") + BASE) * 1_000_000).cast("long")))
 
 
 def stream(spark, folder):
@@ -89,10 +98,10 @@ def test_beacon_stream_equals_batch(spark, folder, tmp_path):
 
 def test_calendar_counts_and_late_rows(spark, folder, tmp_path):
     feed(folder, [[(5.0, "a", "x", 1, 0), (50.0, "a", "x", 2, 1), (65.0, "a", "y", 3, 2)], [(5000.0, "z", "x", 1, 3)],
-                  [(10.0, "a", "x", 9, 4), (9000.0, "z", "x", 1, 5)]])
+                  [(5010.0, "z", "x", 1, 3)], [(10.0, "a", "x", 9, 4), (9000.0, "z", "x", 1, 5)]])
     live = run(windows.tumbling_counts(stream(spark, folder), ["src"], "1 minute", "1 minute"), tmp_path)
-    got = sorted((r.src, r.start.timestamp(), r["count"]) for r in live.collect())
-    assert got == [("a", 0.0, 2), ("a", 60.0, 1), ("z", 4980.0, 1)]     # the late row at 10 s is not counted
+    got = sorted((r.src, r.start.timestamp() - BASE, r["count"]) for r in live.collect())
+    assert got == [("a", 0.0, 2), ("a", 60.0, 1), ("z", 4980.0, 2)]     # the late row at 10 s is not counted
 
 
 def test_stream_suppression(spark, folder, tmp_path):
@@ -104,11 +113,11 @@ def test_stream_suppression(spark, folder, tmp_path):
 def test_ingest_and_running_incidents(spark, tmp_path, folder):
     events = [{"timestamp": f"2024-06-15T08:{m:02}:00Z", "flow_id": m, "event_type": "alert", "src_ip": src,
                "alert": {"signature": "x", "severity": sev}} for m, src, sev in ((1, "h1", 1), (2, "h1", 1), (3, "h2", 3))]
-    (folder / "a.json").write_text("\n".join(map(json.dumps, events[:1])))
-    (folder / "b.json").write_text("\n".join(map(json.dumps, events[1:])))
+    put(folder / "a.json", events[:1], 0)
+    put(folder / "b.json", events[1:], 1)
     normal = incidents.from_alerts(ingest.stream_events(spark, str(folder), files_per_batch=1))
     out = str(tmp_path / "scores")
-    correlate.upsert(correlate.running_scores(normal), out).awaitTermination()
+    correlate.upsert(correlate.running_scores(normal), out, f"incidents-{uuid.uuid4()}").awaitTermination()
     rows = correlate.current(spark.read.parquet(out)).collect()
     assert [(r.src, r.threat_score, r.alerts_seen, r.verdict) for r in rows] == [("h1", 80, 2, "CRITICAL")]
 
