@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from netsift.constants import GEOHASH_ALPHABET, LOCAL_PREFIXES
 
+LOCAL_IPV4 = r"^(10\.\d{1,3}|192\.168|172\.(1[6-9]|2\d|3[01]))\.\d{1,3}\.\d{1,3}$"
 IPV4 = r"^\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}$"
 
 
@@ -24,10 +25,7 @@ def ip_to_long(c: Column | str) -> Column:
 
 def is_local_cidr(c: Column | str) -> Column:
     """10/8, 172.16/12 or 192.168/16; false for null or non-IPv4 text."""
-    n = ip_to_long(c)
-    inside = ((F.shiftright(n, 24) == 10) | (F.shiftright(n, 20) == (172 << 4) + 1)
-              | (F.shiftright(n, 16) == (192 << 8) + 168))
-    return F.coalesce(inside, F.lit(False))
+    return F.coalesce(_col(c).rlike(LOCAL_IPV4), F.lit(False))
 
 
 def is_local_prefix(c: Column | str, prefixes: list[str] = LOCAL_PREFIXES) -> Column:

@@ -1,4 +1,4 @@
-"""Signature rules as data: each rule is a predicate over one log table plus a rate threshold.
+"""Signature rules as data (ids, messages, patterns and thresholds are fixed values): each rule is a predicate over one log table plus a rate threshold.
 
 All rules of a table are evaluated in one pass over it; thresholds are counted per rule and
 source.  ``limit`` keeps the first ``count`` matches of a window, ``both`` reports
@@ -33,20 +33,24 @@ class Rule:
     needs: tuple[str, ...] = ()                        # optional payload columns it reads
 
 
+# locality of both ends, computed once per row by ``matches``
+SRC_HOME, DST_HOME = "_src_home", "_dst_home"
+
+
 def home_out() -> Column:
-    return is_local(SRC) & ~is_local(DST)
+    return col(SRC_HOME) & ~col(DST_HOME)
 
 
 def home_in() -> Column:
-    return ~is_local(SRC) & is_local(DST)
+    return ~col(SRC_HOME) & col(DST_HOME)
 
 
 def inside() -> Column:
-    return is_local(SRC) & is_local(DST)
+    return col(SRC_HOME) & col(DST_HOME)
 
 
 def home() -> Column:
-    return is_local(SRC)
+    return col(SRC_HOME)
 
 
 def has(name: str, text: str) -> Column:
@@ -208,7 +212,7 @@ MALWARE_RULES = [
 
 LOCAL_RULES = [
     Rule(9009001, "LOCAL POLICY Domain Controller External Connection", "conn",
-         lambda: (col(SRC) == "192.168.1.35") & ~is_local(DST), ("limit", 1, 600), "policy-violation"),
+         lambda: (col(SRC) == "192.168.1.35") & ~col(DST_HOME), ("limit", 1, 600), "policy-violation"),
     Rule(9009002, "LOCAL IOC Known C2 IP Connection", "conn", lambda: home() & col(DST).isin(LISTED_IPS),
          ("limit", 1, 300), mitre="T1071"),
     Rule(9009003, "LOCAL IOC Known C2 Domain c2ops.net", "dns",
@@ -234,10 +238,10 @@ def _lookup(rules: list[Rule], value: Callable[[Rule], object], kind: str) -> Co
     return F.create_map(*pairs)[col("sid")]
 
 
-def matches(tables: dict[str, DataFrame], rules: list[Rule] = ALL_RULES, order: list[str] = ("uid",)) -> DataFrame:
+def matches(tables: dict[str, DataFrame], rules: list[Rule] = ALL_RULES, order: list[str] = ("uid",)) -> DataFrame | None:
     """Every (rule, row) match as ``sid, table, ts, src, dst`` plus the ``order`` columns.
 
-    Rules whose table is absent, or lacks a payload column they read, are skipped.
+    Rules whose table is absent, or lacks a payload column they read, are skipped; None if all are.
     """
     parts = []
     for name, df in tables.items():
@@ -245,29 +249,31 @@ def matches(tables: dict[str, DataFrame], rules: list[Rule] = ALL_RULES, order:
         if not mine:
             continue
         hits = F.array_compact(F.array(*[F.when(r.predicate(), F.lit(r.sid)) for r in mine]))
-        parts.append(df.select(F.explode(hits).alias("sid"), F.lit(name).alias("table"), "ts", col(SRC).alias("src"),
+        located = df.withColumns({SRC_HOME: is_local(SRC), DST_HOME: is_local(DST)})
+        parts.append(located.select(F.explode(hits).alias("sid"), F.lit(name).alias("table"), "ts", col(SRC).alias("src"),
                                col(DST).alias("dst"), *order))
-    if not parts:
-        raise ValueError("no rule applies to the given tables")
-    return reduce(DataFrame.unionByName, parts)
+    return reduce(DataFrame.unionByName, parts) if parts else None
 
 
 def alerts(tables: dict[str, DataFrame], rules: list[Rule] = ALL_RULES, order: list[str] = ("uid",),
            anchor: str = "first_event") -> DataFrame:
     """Rule matches after their thresholds, with message, class and technique."""
     order = list(order)
-    hits = matches(tables, rules, order)
+    # two passes, each over the tables its own rules read, instead of one result scanned twice
+    free = matches(tables, [r for r in rules if not r.threshold], order)
     limited = [r for r in rules if r.threshold]
-    free = [r for r in rules if not r.threshold]
-    out = hits.where(col("sid").isin([r.sid for r in free])).withColumn("n", F.lit(1)) if free else None
-    if limited:
-        counted = hits.where(col("sid").isin([r.sid for r in limited]))
+    counted = matches(tables, limited, order)
+    parts = [] if free is None else [free]
+    if counted is not None:
         seconds = _lookup(limited, lambda r: r.threshold[2], "long")
         count = _lookup(limited, lambda r: r.threshold[1], "int")
         kind = _lookup(limited, lambda r: r.threshold[0], "string")
-        kept = numbered(counted, ["sid", "src"], "ts", seconds, ["table", *order], anchor).where(
-            F.when(kind == "limit", col("n") <= count).otherwise(col("n") == count)).drop("win_start")
-        out = kept if out is None else out.unionByName(kept)
+        passed = F.when(kind == "limit", col("n") <= count).otherwise(col("n") == count)
+        kept = numbered(counted, ["sid", "src"], "ts", seconds, ["table", *order], anchor)
+        parts.append(kept.where(passed).drop("win_start", "n"))
+    if not parts:
+        raise ValueError("no rule applies to the given tables")
+    out = reduce(DataFrame.unionByName, parts)
     return out.select(
         "sid", "table", "ts", "src", "dst", *order, _lookup(rules, lambda r: r.msg, "string").alias("msg"),
         _lookup(rules, lambda r: r.classtype, "string").alias("classtype"),
