@@ -22,7 +22,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,25 +33,19 @@ OPEN = np.iinfo(np.int64).min // 2   # "no window open"
 
 # --- helpers inside tasks ----------------------------------------------------
 
-def _whole_groups(batches: Iterator[pa.RecordBatch], cols: list[str]) -> Iterator[pa.Table]:
-    """Re-cut sorted Arrow batches so that no group is split between two tables."""
+def _whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Re-cut sorted Arrow batches so that no group is split; ``i`` numbers the rows of a group from 1."""
     held: list[pa.RecordBatch] = []
     for batch in batches:
-        size = batch.num_rows
-        if size == 0:
-            continue
-        same = np.ones(size, dtype=bool)
-        for c in cols:
-            column = batch.column(c)
-            same &= pc.equal(column, column[size - 1]).to_numpy(zero_copy_only=False)
-        tail = 0 if same.all() else size - int(np.argmin(same[::-1]))
-        if held and tail == 0 and all(held[-1].column(c)[-1] == batch.column(c)[0] for c in cols):
+        starts = np.flatnonzero(batch.column("_i").to_numpy() == 1)
+        if len(starts) == 0:
             held.append(batch)
             continue
-        done = held + ([batch.slice(0, tail)] if tail else [])
+        done = held + ([batch.slice(0, starts[-1])] if starts[-1] else [])
         if done:
             yield pa.Table.from_batches(done).combine_chunks()
-        held = [batch.slice(tail)]
+        held = [batch.slice(starts[-1])]
+    held = [b for b in held if b.num_rows]
     if held:
         yield pa.Table.from_batches(held).combine_chunks()
 
@@ -61,16 +54,18 @@ def _ints(table: pa.Table, name: str) -> np.ndarray:
     return table.column(name).to_numpy()
 
 
-def _groups(table: pa.Table, cols: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _groups(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """First row and end of every group, and each row's group number."""
-    size = table.num_rows
-    change = np.zeros(size, dtype=bool)
-    change[0] = True
-    for c in cols:
-        v = table.column(c)
-        change[1:] |= pc.not_equal(v.slice(1), v.slice(0, size - 1)).to_numpy()
-    starts = np.flatnonzero(change)
-    return starts, np.append(starts[1:], size), np.cumsum(change) - 1
+    head = _ints(table, "_i") == 1
+    starts = np.flatnonzero(head)
+    return starts, np.append(starts[1:], table.num_rows), np.cumsum(head) - 1
+
+
+def _units(table: pa.Table, unit: str) -> tuple[list[int], list[int]]:
+    """First row and end of every run of one ``unit`` value inside a group."""
+    v = _ints(table, unit)
+    starts = np.flatnonzero(np.append(True, v[1:] != v[:-1]) | (_ints(table, "_i") == 1))
+    return starts.tolist(), [*starts[1:].tolist(), table.num_rows]
 
 
 def _emit(table: pa.Table, rows: np.ndarray, keep: list[str], **extra: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -97,9 +92,9 @@ def _next_window(x: np.ndarray, width: np.ndarray, gid: np.ndarray, ends: np.nda
 
 def _slice_steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(key, slice) rows -> steps (key, slice, upper bound of entry, exit)."""
-    for table in _whole_groups(batches, ["k", "slice"]):
-        starts, ends, gid = _groups(table, ["k", "slice"])
-        x, width = _ints(table, "x"), _ints(table, "w")
+    for table in _whole_groups(batches):
+        starts, ends, gid = _groups(table)
+        x, width = _ints(table, "_x"), _ints(table, "_w")
         nxt = _next_window(x, width, gid, ends)
         last = np.arange(len(x))
         while True:                       # follow the chain to the slice's last window
@@ -110,7 +105,7 @@ def _slice_steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             last = np.where(more, ahead, last)
         leave = x[last] + width[last]
         # an entry lies below slice start + width: of the rows past that only the first can open
-        late = x >= _ints(table, "slice") * width * SLICE_WIDTHS + width
+        late = x >= _ints(table, "_slice") * width * SLICE_WIDTHS + width
         after_late = np.append(False, late[:-1])
         after_late[starts] = False
         kept = np.flatnonzero(~after_late)
@@ -118,7 +113,7 @@ def _slice_steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         final = np.ones(len(kept), dtype=bool)
         final[:-1] = (gid[kept][1:] != gid[kept][:-1]) | (leave[kept][1:] != leave[kept][:-1])
         rows = kept[final]
-        yield from _emit(table, rows, ["k", "slice"], entry=x[rows], leave=leave[rows])
+        yield from _emit(table, rows, ["_k", "_slice"], entry=x[rows], leave=leave[rows])
 
 
 def _apply_steps(entry: np.ndarray, leave: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -138,64 +133,44 @@ def _compose(first: tuple[np.ndarray, np.ndarray], second: tuple[np.ndarray, np.
 
 def _block_steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Compose the slices of each (key, block)."""
-    for table in _whole_groups(batches, ["k", "block"]):
-        starts, ends, _ = _groups(table, ["k", "block", "slice"])
-        heads = set(_groups(table, ["k", "block"])[0].tolist())
+    for table in _whole_groups(batches):
+        heads = set(_groups(table)[0].tolist())
         entry, leave = _ints(table, "entry"), _ints(table, "leave")
         parts: list[list] = []
-        for s, e in zip(starts.tolist(), ends.tolist()):
+        for s, e in zip(*_units(table, "_slice")):
             piece = (entry[s:e], leave[s:e])
             if s in heads:
                 parts.append([s, piece])
             else:
                 parts[-1][1] = _compose(parts[-1][1], piece)
         rows = np.repeat([p[0] for p in parts], [len(p[1][0]) for p in parts])
-        yield from _emit(table, rows, ["k", "block"], entry=np.concatenate([p[1][0] for p in parts]),
+        yield from _emit(table, rows, ["_k", "_block"], entry=np.concatenate([p[1][0] for p in parts]),
                          leave=np.concatenate([p[1][1] for p in parts]))
 
 
-def _walk(batches: Iterator[pa.RecordBatch], group: list[str], unit: str) -> Iterator[pa.RecordBatch]:
-    """Carry the state through the units of each group; yields the state on entry to every unit.
-
-    A ``marker`` row may open a group; its ``entry`` is then the group's first state.
-    """
-    state, current = OPEN, None
-    for table in _whole_groups(batches, [*group, unit]):
-        starts, ends, _ = _groups(table, [*group, unit])
-        entry, leave = _ints(table, "entry"), _ints(table, "leave")
-        marker = table.column("marker").to_numpy()
-        names = table.select(group).take(pa.array(starts)).to_pylist()
-        took, states = [], []
-        for name, s, e in zip(names, starts.tolist(), ends.tolist()):
-            if name != current:
-                current, state = name, OPEN
-            if marker[s]:
-                state = int(entry[s])
-                continue
-            took.append(s)
+def _walk(batches: Iterator[pa.RecordBatch], unit: str) -> Iterator[pa.RecordBatch]:
+    """Carry a group's first ``state`` through its units; yields the state on entry to every unit."""
+    for table in _whole_groups(batches):
+        heads = set(_groups(table)[0].tolist())
+        entry, leave, first = _ints(table, "entry"), _ints(table, "leave"), _ints(table, "_state")
+        starts, ends = _units(table, unit)
+        states, state = [], OPEN
+        for s, e in zip(starts, ends):
+            if s in heads:
+                state = int(first[s])
             states.append(state)
             state = int(_apply_steps(entry[s:e], leave[s:e], np.array([state]))[0])
-        if took:
-            yield from _emit(table, np.array(took), ["k", unit], state=np.array(states, dtype=np.int64))
+        yield from _emit(table, np.array(starts), ["_k", unit], _state=np.array(states, dtype=np.int64))
 
 
 def _finish(batches: Iterator[pa.RecordBatch], payload: list[str]) -> Iterator[pa.RecordBatch]:
-    """Mark the windows of each (key, slice); a slice's first row carries its entry state."""
-    for table in _whole_groups(batches, ["k", "slice"]):
-        state, is_state = _ints(table, "state"), _ints(table, "tag") == 0
-        starts, _, gid_all = _groups(table, ["k", "slice"])
-        carried = np.full(len(starts), OPEN, dtype=np.int64)
-        carried[gid_all[is_state]] = state[is_state]
-        rows = table.filter(pa.array(~is_state))
-        if rows.num_rows == 0:
-            continue
-        starts, ends, gid = _groups(rows, ["k", "slice"])
-        carried = carried[gid_all[~is_state][starts]]
-        x, width = _ints(rows, "x"), _ints(rows, "w")
+    """Mark the windows of each (key, slice) from its entry state."""
+    for table in _whole_groups(batches):
+        starts, ends, gid = _groups(table)
+        x, width, carried = _ints(table, "_x"), _ints(table, "_w"), _ints(table, "_state")
         nxt = _next_window(x, width, gid, ends)
-        below = x < carried[gid]
-        cursor = starts + np.bincount(gid, weights=below, minlength=len(starts)).astype(np.int64)
-        stop = ends
+        below = np.bincount(gid, weights=x < carried, minlength=len(starts)).astype(np.int64)
+        cursor, stop = starts + below, ends
         first = np.zeros(len(x), dtype=bool)
         while True:
             live = cursor < stop
@@ -207,8 +182,8 @@ def _finish(batches: Iterator[pa.RecordBatch], payload: list[str]) -> Iterator[p
         # a row belongs to the latest opening row of its slice, else to the window carried in
         opened = np.maximum.accumulate(np.where(first, np.arange(len(x)), -1))
         inside = opened >= starts[gid]
-        start = np.where(inside, x[np.maximum(opened, 0)], carried[gid] - width)
-        yield from _emit(rows, np.arange(len(x)), payload, win_start=start, win_first=first)
+        start = np.where(inside, x[np.maximum(opened, 0)], carried - width)
+        yield from _emit(table, np.arange(len(x)), payload, win_start=start, win_first=first)
 
 
 # --- the operator ------------------------------------------------------------
@@ -217,6 +192,15 @@ def _key(keys: list[str]) -> Column:
     return F.to_json(F.struct(*[F.col(k) for k in keys]), {"ignoreNullFields": "false"})
 
 
+def _ordered(df: DataFrame, group: list[str], order: list) -> DataFrame:
+    """Rows grouped and sorted, numbered by ``i``.
+
+    The window (and not a plain sort) tells Spark that groups must stay whole, so it will not
+    split a large partition of a join feeding it.
+    """
+    return df.withColumn("_i", F.row_number().over(Window.partitionBy(*group).orderBy(*order)))
+
+
 def anchored_windows(
     df: DataFrame,
     keys: list[str],
@@ -227,65 +211,37 @@ def anchored_windows(
 ) -> DataFrame:
     """Add ``win_start`` (position of the window's opening row) and ``win_first``.
 
-    ``position`` and ``width`` are whole numbers in one unit (microseconds for time); width
-    is constant within a key.  ``order`` breaks ties between rows at one position.
-    With ``opens_at_width`` the first window of a key is already open and ends at
-    position ``width``: rows below that get ``win_start`` 0 and no opening row (used for
-    "every time a running total passes a threshold").
+    ``position`` and ``width`` are whole numbers in one unit (microseconds for time); width is
+    constant within a key and rows without a position are left out.  ``order`` breaks ties between
+    rows at one position.  With ``opens_at_width`` (a number as width) the first window of a key
+    is already open and ends at position ``width``: rows below that get ``win_start`` 0 and no
+    opening row (used for "every time a running total passes a threshold").
     """
     df = df.drop("win_start", "win_first")   # of an earlier pass
-    order = order or []
     x = F.col(position) if isinstance(position, str) else position
     w = width if isinstance(width, Column) else F.lit(width)
+    rows = (df.withColumns({"_k": _key(keys), "_x": x.cast("long"), "_w": w.cast("long")})
+            .withColumn("_slice", F.expr(f"_x div (_w * {SLICE_WIDTHS})"))
+            .where("_k IS NOT NULL AND _x IS NOT NULL AND _slice IS NOT NULL"))
+    # both shuffles below are read twice; the explicit null filters keep the two reads identical,
+    # so that Spark runs each of them once
+    by_slice = rows.repartition("_k", "_slice")
+    steps = (_ordered(by_slice, ["_k", "_slice"], ["_x"])
+             .mapInArrow(_slice_steps, "_k string, _slice long, entry long, leave long"))
+    by_block = (steps.withColumn("_block", F.floor(F.col("_slice") / BLOCK_SLICES).cast("long"))
+                .where("_k IS NOT NULL AND _block IS NOT NULL").repartition("_k", "_block"))
+    blocks = (_ordered(by_block, ["_k", "_block"], ["_slice", "entry"])
+              .mapInArrow(_block_steps, "_k string, _block long, entry long, leave long"))
+    initial = F.lit(width if opens_at_width else OPEN).cast("long")
+    block_state = (_ordered(blocks.withColumn("_state", initial), ["_k"], ["_block", "entry"])
+                   .mapInArrow(lambda it: _walk(it, "_block"), "_k string, _block long, _state long"))
+    slice_state = (_ordered(by_block.join(block_state, ["_k", "_block"]), ["_k", "_block"], ["_slice", "entry"])
+                   .mapInArrow(lambda it: _walk(it, "_slice"), "_k string, _slice long, _state long"))
     payload = df.columns
-    rows = (df.withColumn("k", _key(keys)).withColumn("x", x.cast("long")).withColumn("w", w.cast("long"))
-            .where(F.col("x").isNotNull())
-            .withColumn("slice", F.expr(f"x div (w * {SLICE_WIDTHS})")))
-
-    bare = rows.select("k", "slice", "x", "w")
-    if opens_at_width:
-        # the virtual opening row of each key sits at position 0
-        virtual = bare.groupBy("k").agg(F.max("w").alias("w")).select(
-            "k", F.lit(0).cast("long").alias("slice"), F.lit(0).cast("long").alias("x"), "w")
-        bare = bare.unionByName(virtual)
-
-    steps = (bare.repartition("k", "slice").sortWithinPartitions("k", "slice", "x")
-             .mapInArrow(_slice_steps, "k string, slice long, entry long, leave long"))
-    in_blocks = steps.withColumn("block", F.floor(F.col("slice") / BLOCK_SLICES).cast("long"))
-    blocks = (in_blocks.repartition("k", "block").sortWithinPartitions("k", "block", "slice", "entry")
-              .mapInArrow(_block_steps, "k string, block long, entry long, leave long"))
-    block_state = (blocks.withColumn("marker", F.lit(False)).repartition("k")
-                   .sortWithinPartitions("k", "block", "entry")
-                   .mapInArrow(lambda it: _walk(it, ["k"], "block"), "k string, block long, state long"))
-    seeds = block_state.select("k", "block", F.lit(None).cast("long").alias("slice"),
-                               F.col("state").alias("entry"), F.lit(0).cast("long").alias("leave"),
-                               F.lit(True).alias("marker"))
-    walked = (in_blocks.withColumn("marker", F.lit(False)).unionByName(seeds)
-              .withColumn("slice", F.coalesce("slice", F.lit(OPEN).cast("long")))
-              .repartition("k", "block").sortWithinPartitions("k", "block", "slice", "entry")
-              .mapInArrow(lambda it: _walk(it, ["k", "block"], "slice"),
-                           "k string, slice long, state long"))
-
-    data = rows.withColumn("state", F.lit(0).cast("long")).withColumn("tag", F.lit(1))
-    if opens_at_width:
-        zero = rows.groupBy("k").agg(F.max("w").alias("w"))
-        data = data.unionByName(
-            zero.select("k", "w", F.lit(0).cast("long").alias("x"), F.lit(0).cast("long").alias("slice"),
-                        F.lit(0).cast("long").alias("state"), F.lit(2).alias("tag")),
-            allowMissingColumns=True)
-    state_rows = walked.select("k", "slice", "state", F.lit(0).alias("tag"),
-                               F.lit(OPEN).cast("long").alias("x"))
-    merged = data.unionByName(state_rows, allowMissingColumns=True).fillna({"w": 0})
-    kept = [*payload, "tag"] if opens_at_width else payload
-    schema = T.StructType([
-        *[T.StructField(f.name, f.dataType, True) for f in df.schema.fields],
-        *([T.StructField("tag", T.IntegerType())] if opens_at_width else []),
-        T.StructField("win_start", T.LongType()), T.StructField("win_first", T.BooleanType())])
-    tie = [F.col("tag").desc()] if opens_at_width else []
-    out = (merged.repartition("k", "slice")
-           .sortWithinPartitions("k", "slice", "x", *tie, *order)
-           .mapInArrow(lambda it: _finish(it, kept), schema))
-    return out.where(F.col("tag") == 1).drop("tag") if opens_at_width else out
+    schema = T.StructType([*df.schema.fields, T.StructField("win_start", T.LongType()),
+                           T.StructField("win_first", T.BooleanType())])
+    return (_ordered(by_slice.join(slice_state, ["_k", "_slice"]), ["_k", "_slice"], ["_x", *(order or [])])
+            .mapInArrow(lambda it: _finish(it, payload), schema))
 
 
 def throttle(df: DataFrame, keys: list[str], ts: str, seconds: float, order: list[str] | None = None,

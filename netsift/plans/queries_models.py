@@ -9,6 +9,7 @@ from netsift.operators import dga, iforest, intervals
 from netsift.plans import bind
 from netsift.plans.catalog import query
 from netsift.plans.shape import plain
+from netsift.sources import alerts, logs
 
 
 def _labelled(spark, sf):
@@ -149,3 +150,34 @@ SELECT doc_id, round(-sum(n / total::DOUBLE * log2(n / total::DOUBLE)), 6) AS en
 def document_entropy(spark, sf):
     docs = bind.table(spark, sf, "documents")
     return plain(docs.where("length(text) > 0").select("doc_id", text.entropy("text").alias("entropy")))
+
+
+# --- reading text into types -------------------------------------------------
+
+@query("log_coercion", """
+SELECT event_id, CASE WHEN k % 9 <> 0 THEN t END AS ts_us, CASE WHEN k % 7 <> 0 THEN k END AS id_resp_p,
+  CASE WHEN k % 5 <> 0 THEN event_id * 10 END AS orig_bytes, round(value, 6) AS duration, k % 2 = 0 AS local_orig,
+  CASE WHEN k % 3 <> 0 THEN 'x' || k END AS extra FROM ev""", ["ev"])
+def log_coercion(spark, sf):
+    ev, k = bind.events(spark, sf), F.col("k")
+    unset = lambda cond, c: F.nullif(F.when(cond, c).otherwise("-"), F.lit("-"))
+    seconds = F.format_string("%d.%06d", F.floor(F.unix_micros("ts") / 1_000_000), F.unix_micros("ts") % 1_000_000)
+    raw = {"ts": unset(k % 9 != 0, seconds), "id.resp_p": F.when(k % 7 != 0, k.cast("string")).otherwise("seven"),
+           "orig_bytes": unset(k % 5 != 0, (F.col("event_id") * 10).cast("string")),
+           "duration": F.col("value").cast("string"), "local_orig": F.when(k % 2 == 0, "T").otherwise("F"),
+           "extra": unset(k % 3 != 0, F.concat(F.lit("x"), k.cast("string")))}
+    found = plain(ev.select("event_id", *logs.coerce(raw, "conn")))
+    return found.withColumn("id_resp_p", F.col("id_resp_p").cast("long"))
+
+
+@query("alert_coercion", """
+SELECT event_id AS flow_id, CASE WHEN k % 9 <> 0 THEN t - t % 1000 END AS timestamp_us,
+  CASE WHEN k % 4 <> 0 THEN k END AS severity, 9000000 + k AS signature_id FROM ev""", ["ev"])
+def alert_coercion(spark, sf):
+    ev, k = bind.events(spark, sf), F.col("k")
+    stamp = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+    raw = ev.select(
+        F.when(k % 9 != 0, stamp).otherwise("never").alias("timestamp"), F.col("event_id").alias("flow_id"),
+        F.struct(F.when(k % 4 != 0, k.cast("string")).otherwise("high").alias("severity"),
+                 (9000000 + k).cast("string").alias("signature_id")).alias("alert"))
+    return plain(alerts.coerce(raw).select("flow_id", "timestamp", "alert.severity", "alert.signature_id"))
