@@ -90,11 +90,15 @@ def _next_window(x: np.ndarray, width: np.ndarray, gid: np.ndarray, ends: np.nda
     return nxt
 
 
-def _slice_steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _widths(table: pa.Table, fixed: int | None) -> np.ndarray:
+    return _ints(table, "_w") if fixed is None else np.full(table.num_rows, fixed, dtype=np.int64)
+
+
+def _slice_steps(batches: Iterator[pa.RecordBatch], fixed: int | None) -> Iterator[pa.RecordBatch]:
     """(key, slice) rows -> steps (key, slice, upper bound of entry, exit)."""
     for table in _whole_groups(batches):
         starts, ends, gid = _groups(table)
-        x, width = _ints(table, "_x"), _ints(table, "_w")
+        x, width = _ints(table, "_x"), _widths(table, fixed)
         nxt = _next_window(x, width, gid, ends)
         last = np.arange(len(x))
         while True:                       # follow the chain to the slice's last window
@@ -163,11 +167,11 @@ def _walk(batches: Iterator[pa.RecordBatch], unit: str) -> Iterator[pa.RecordBat
         yield from _emit(table, np.array(starts), ["_k", unit], _state=np.array(states, dtype=np.int64))
 
 
-def _finish(batches: Iterator[pa.RecordBatch], payload: list[str]) -> Iterator[pa.RecordBatch]:
+def _finish(batches: Iterator[pa.RecordBatch], payload: list[str], fixed: int | None) -> Iterator[pa.RecordBatch]:
     """Mark the windows of each (key, slice) from its entry state."""
     for table in _whole_groups(batches):
         starts, ends, gid = _groups(table)
-        x, width, carried = _ints(table, "_x"), _ints(table, "_w"), _ints(table, "_state")
+        x, width, carried = _ints(table, "_x"), _widths(table, fixed), _ints(table, "_state")
         nxt = _next_window(x, width, gid, ends)
         below = np.bincount(gid, weights=x < carried, minlength=len(starts)).astype(np.int64)
         cursor, stop = starts + below, ends
@@ -219,15 +223,17 @@ def anchored_windows(
     """
     df = df.drop("win_start", "win_first")   # of an earlier pass
     x = F.col(position) if isinstance(position, str) else position
-    w = width if isinstance(width, Column) else F.lit(width)
-    rows = (df.withColumns({"_k": _key(keys), "_x": x.cast("long"), "_w": w.cast("long")})
-            .withColumn("_slice", F.expr(f"_x div (_w * {SLICE_WIDTHS})"))
+    fixed = None if isinstance(width, Column) else int(width)
+    rows = df.withColumns({"_k": _key(keys), "_x": x.cast("long")})
+    if fixed is None:
+        rows = rows.withColumn("_w", width.cast("long"))
+    rows = (rows.withColumn("_slice", F.expr(f"_x div ({'_w' if fixed is None else f'{fixed}L'} * {SLICE_WIDTHS})"))
             .where("_k IS NOT NULL AND _x IS NOT NULL AND _slice IS NOT NULL"))
     # both shuffles below are read twice; the explicit null filters keep the two reads identical,
     # so that Spark runs each of them once
     by_slice = rows.repartition("_k", "_slice")
     steps = (_ordered(by_slice, ["_k", "_slice"], ["_x"])
-             .mapInArrow(_slice_steps, "_k string, _slice long, entry long, leave long"))
+             .mapInArrow(lambda it: _slice_steps(it, fixed), "_k string, _slice long, entry long, leave long"))
     by_block = (steps.withColumn("_block", F.floor(F.col("_slice") / BLOCK_SLICES).cast("long"))
                 .where("_k IS NOT NULL AND _block IS NOT NULL").repartition("_k", "_block"))
     blocks = (_ordered(by_block, ["_k", "_block"], ["_slice", "entry"])
@@ -241,7 +247,7 @@ def anchored_windows(
     schema = T.StructType([*df.schema.fields, T.StructField("win_start", T.LongType()),
                            T.StructField("win_first", T.BooleanType())])
     return (_ordered(by_slice.join(slice_state, ["_k", "_slice"]), ["_k", "_slice"], ["_x", *(order or [])])
-            .mapInArrow(lambda it: _finish(it, payload), schema))
+            .mapInArrow(lambda it: _finish(it, payload, fixed), schema))
 
 
 def throttle(df: DataFrame, keys: list[str], ts: str, seconds: float, order: list[str] | None = None,

@@ -106,7 +106,8 @@ def rate_against_baseline(dns: DataFrame, bucket_seconds: int = 60, min_ratio: f
 def sensor_query_volume(dns: DataFrame, threshold: int = 100, window_seconds: int = 60, order: list[str] = (),
                         anchor: str = "first_event") -> DataFrame:
     """More than ``threshold`` queries of a source within the window; the count then restarts."""
-    hits = numbered(dns, [SRC], "ts", window_seconds, list(order), anchor).where(F.col("n") % (threshold + 1) == 0)
+    live = dns.select(SRC, "ts", *order)
+    hits = numbered(live, [SRC], "ts", window_seconds, list(order), anchor).where(F.col("n") % (threshold + 1) == 0)
     return findings(hits.withColumn("queries", F.lit(threshold + 1)), "DNS_High_Query_Volume",
                     F.format_string("%d queries/min from %s", "queries", SRC), dashed(F.lit("dns-vol"), SRC),
                     "HIGH_QUERY_VOLUME", dst=False, keep=["queries", *order])

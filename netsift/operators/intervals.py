@@ -21,8 +21,12 @@ SLICE_SECONDS = 600
 
 def _timed(df: DataFrame, keys: list[str], ts: str, slice_seconds: int) -> DataFrame:
     t = F.unix_micros(F.col(ts).cast("timestamp"))
-    return (df.select(*keys, t.alias("t")).dropna(subset=[*keys, "t"])
-            .withColumn("slice", F.floor(F.col("t") / (slice_seconds * 1_000_000)).cast("long")))
+    # explicit null filters: joins on these columns then add none of their own, and both reads of the
+    # shuffle by (key, slice) stay identical, so that Spark runs it once
+    rows = df.select(*keys, t.alias("t")).withColumn("slice", F.expr(f"t div {slice_seconds * 1_000_000}L"))
+    for c in [*keys, "t", "slice"]:
+        rows = rows.where(F.col(c).isNotNull())
+    return rows
 
 
 def _key_slices(timed: DataFrame, keys: list[str]) -> DataFrame:

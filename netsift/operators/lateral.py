@@ -56,7 +56,7 @@ def distinct_hosts(conn: DataFrame, bucket_seconds: int = 180, min_hosts: int =
 def dcom_exec(conn: DataFrame, threshold: int = 3, window_seconds: int = 180, order: list[str] = (),
               anchor: str = "first_event") -> DataFrame:
     """Every ``threshold``-th internal connection of a source to port 135 within the window."""
-    live = _internal(conn).where(F.col("id_resp_p") == 135)
+    live = _internal(conn).where(F.col("id_resp_p") == 135).select(SRC, DST, "ts", *order)
     hits = numbered(live, [SRC], "ts", window_seconds, list(order), anchor).where(F.col("n") % threshold == 0)
     return findings(hits, "LM_WMI_Remote_Exec", _between("WMI/DCOM from %s to %s"), dashed(F.lit("lm-wmi"), SRC, DST),
                     "WMI_REMOTE_EXEC", "T1047", keep=list(order))
@@ -66,7 +66,7 @@ def auth_spray(conn: DataFrame, threshold: int = 5, window_seconds: int = 180, q
                order: list[str] = (), anchor: str = "first_event") -> DataFrame:
     """More than ``threshold`` SMB sign-on attempts of a source within the window."""
     order = list(order)
-    live = _internal(conn).where(F.col("id_resp_p") == 445)
+    live = _internal(conn).where(F.col("id_resp_p") == 445).select(SRC, DST, "ts", *order)
     over = numbered(live, [SRC], "ts", window_seconds, order, anchor).where(F.col("n") > threshold)
     hits = throttle(over.withColumn("attempts", F.col("n")), [SRC], "ts", quiet_seconds, order)
     return findings(hits, "LM_Auth_Spray", F.format_string("%s made %d SMB sign-on attempts", SRC, "attempts"),
@@ -79,7 +79,7 @@ def rdp_brute_force(conn: DataFrame, threshold: int = 10, window_seconds: int =
     """Short, small sessions to a local 3389; one alert per source and ``quiet_seconds``."""
     order = list(order)
     live = conn.where((F.col("id_resp_p") == 3389) & is_local(DST) & (F.col("duration") < max_duration)
-                      & (F.col("orig_bytes") < max_bytes))
+                      & (F.col("orig_bytes") < max_bytes)).select(SRC, DST, "ts", *order)
     over = numbered(live, [SRC, DST], "ts", window_seconds, order, anchor).where(F.col("n") >= threshold)
     hits = throttle(over.withColumn("attempts", F.col("n")), [SRC], "ts", quiet_seconds, order)
     return findings(hits, "RDP_Brute_Force", _between("RDP brute force from %s to %s: %d attempts", "attempts"),
@@ -89,7 +89,7 @@ def rdp_brute_force(conn: DataFrame, threshold: int = 10, window_seconds: int =
 def smb_write_rate(smb: DataFrame, threshold: int = 100, window_seconds: int = 60, order: list[str] = (),
                    anchor: str = "first_event") -> DataFrame:
     """Every ``threshold``-th write of a pair within the window."""
-    live = smb.where(F.col("action") == "write")
+    live = smb.where(F.col("action") == "write").select(SRC, DST, "ts", *order)
     hits = numbered(live, [SRC, DST], "ts", window_seconds, list(order), anchor).where(F.col("n") % threshold == 0)
     return findings(hits.withColumn("writes", F.lit(threshold)), "SMB_High_Write_Rate",
                     F.format_string("High SMB write rate: %d writes/min from %s to %s", "writes", SRC, DST),

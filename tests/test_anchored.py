@@ -87,3 +87,20 @@ def test_throttle_keeps_spacing(spark):
     assert sorted(r.s for r in kept.collect()) == [0, 60, 121]
     strict = throttle(at(spark, [0, 30, 60, 61, 119, 121]), ["src"], "ts", 60, strict=True)
     assert sorted(r.s for r in strict.collect()) == [0, 61]
+
+
+def test_same_result_without_broadcast_joins(spark):
+    """Large tables join by sort-merge; groups must stay whole there too."""
+    data = series(5)
+    rows = [(k, x, i) for k, xs in data.items() for i, x in enumerate(xs)]
+    df = spark.createDataFrame(rows, "key string, x long, i long").repartition(5)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = anchored_windows(df, ["key"], "x", 50, ["i"])
+        got = {(r.key, r.i): r.win_start for r in out.collect()}
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert got == {(k, i): s for k, xs in data.items() for i, s in enumerate(brute(xs, 50))}
+    assert "SortMergeJoin" in plan
