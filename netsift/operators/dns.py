@@ -170,9 +170,9 @@ def sensor_nxdomain_ratio(dns: DataFrame, ratio: float = 0.70, min_queries: int
     window = [SRC, "win_start"]
     seen = time_windows(dns.select(SRC, "ts", *order, (F.col("rcode") == 3).alias("nx")), [SRC], "ts",
                         window_seconds, order, anchor).withColumn("nx", F.coalesce("nx", F.lit(False)))
-    able = seen.groupBy(*window).agg(F.count("*").alias("c"), F.count_if("nx").alias("m")).where(
-        (F.col("c") > min_queries) & (F.col("m") > ratio * (min_queries + 1) - 1)).select(*window)
-    rows = seen.join(able, window, "left_semi")
+    whole = Window.partitionBy(*window)
+    rows = (seen.withColumns({"c": F.count("*").over(whole), "m": F.count_if("nx").over(whole)})
+            .where((F.col("c") > min_queries) & (F.col("m") > ratio * (min_queries + 1) - 1)).drop("c", "m"))
     fields = {f.name: f.dataType.simpleString() for f in seen.schema.fields}
     schema = ", ".join(f"`{c}` {fields[c]}" for c in [SRC, "ts", *order]) + ", nxdomains long, queries long"
 
