@@ -33,7 +33,7 @@ OPEN = np.iinfo(np.int64).min // 2   # "no window open"
 
 # --- helpers inside tasks ----------------------------------------------------
 
-def _whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+def whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
     """Re-cut sorted Arrow batches so that no group is split; ``i`` numbers the rows of a group from 1."""
     held: list[pa.RecordBatch] = []
     for batch in batches:
@@ -54,7 +54,7 @@ def _ints(table: pa.Table, name: str) -> np.ndarray:
     return table.column(name).to_numpy()
 
 
-def _groups(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def group_bounds(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """First row and end of every group, and each row's group number."""
     head = _ints(table, "_i") == 1
     starts = np.flatnonzero(head)
@@ -68,7 +68,7 @@ def _units(table: pa.Table, unit: str) -> tuple[list[int], list[int]]:
     return starts.tolist(), [*starts[1:].tolist(), table.num_rows]
 
 
-def _emit(table: pa.Table, rows: np.ndarray, keep: list[str], **extra: np.ndarray) -> Iterator[pa.RecordBatch]:
+def emit(table: pa.Table, rows: np.ndarray, keep: list[str], **extra: np.ndarray) -> Iterator[pa.RecordBatch]:
     out = table.select(keep).take(pa.array(rows))
     for name, values in extra.items():
         out = out.append_column(name, pa.array(values))
@@ -96,8 +96,8 @@ def _widths(table: pa.Table, fixed: int | None) -> np.ndarray:
 
 def _slice_steps(batches: Iterator[pa.RecordBatch], fixed: int | None) -> Iterator[pa.RecordBatch]:
     """(key, slice) rows -> steps (key, slice, upper bound of entry, exit)."""
-    for table in _whole_groups(batches):
-        starts, ends, gid = _groups(table)
+    for table in whole_groups(batches):
+        starts, ends, gid = group_bounds(table)
         x, width = _ints(table, "_x"), _widths(table, fixed)
         nxt = _next_window(x, width, gid, ends)
         last = np.arange(len(x))
@@ -117,7 +117,7 @@ def _slice_steps(batches: Iterator[pa.RecordBatch], fixed: int | None) -> Iterat
         final = np.ones(len(kept), dtype=bool)
         final[:-1] = (gid[kept][1:] != gid[kept][:-1]) | (leave[kept][1:] != leave[kept][:-1])
         rows = kept[final]
-        yield from _emit(table, rows, ["_k", "_slice"], entry=x[rows], leave=leave[rows])
+        yield from emit(table, rows, ["_k", "_slice"], entry=x[rows], leave=leave[rows])
 
 
 def _apply_steps(entry: np.ndarray, leave: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -137,8 +137,8 @@ def _compose(first: tuple[np.ndarray, np.ndarray], second: tuple[np.ndarray, np.
 
 def _block_steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Compose the slices of each (key, block)."""
-    for table in _whole_groups(batches):
-        heads = set(_groups(table)[0].tolist())
+    for table in whole_groups(batches):
+        heads = set(group_bounds(table)[0].tolist())
         entry, leave = _ints(table, "entry"), _ints(table, "leave")
         parts: list[list] = []
         for s, e in zip(*_units(table, "_slice")):
@@ -148,14 +148,14 @@ def _block_steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             else:
                 parts[-1][1] = _compose(parts[-1][1], piece)
         rows = np.repeat([p[0] for p in parts], [len(p[1][0]) for p in parts])
-        yield from _emit(table, rows, ["_k", "_block"], entry=np.concatenate([p[1][0] for p in parts]),
+        yield from emit(table, rows, ["_k", "_block"], entry=np.concatenate([p[1][0] for p in parts]),
                          leave=np.concatenate([p[1][1] for p in parts]))
 
 
 def _walk(batches: Iterator[pa.RecordBatch], unit: str) -> Iterator[pa.RecordBatch]:
     """Carry a group's first ``state`` through its units; yields the state on entry to every unit."""
-    for table in _whole_groups(batches):
-        heads = set(_groups(table)[0].tolist())
+    for table in whole_groups(batches):
+        heads = set(group_bounds(table)[0].tolist())
         entry, leave, first = _ints(table, "entry"), _ints(table, "leave"), _ints(table, "_state")
         starts, ends = _units(table, unit)
         states, state = [], OPEN
@@ -164,13 +164,13 @@ def _walk(batches: Iterator[pa.RecordBatch], unit: str) -> Iterator[pa.RecordBat
                 state = int(first[s])
             states.append(state)
             state = int(_apply_steps(entry[s:e], leave[s:e], np.array([state]))[0])
-        yield from _emit(table, np.array(starts), ["_k", unit], _state=np.array(states, dtype=np.int64))
+        yield from emit(table, np.array(starts), ["_k", unit], _state=np.array(states, dtype=np.int64))
 
 
 def _finish(batches: Iterator[pa.RecordBatch], payload: list[str], fixed: int | None) -> Iterator[pa.RecordBatch]:
     """Mark the windows of each (key, slice) from its entry state."""
-    for table in _whole_groups(batches):
-        starts, ends, gid = _groups(table)
+    for table in whole_groups(batches):
+        starts, ends, gid = group_bounds(table)
         x, width, carried = _ints(table, "_x"), _widths(table, fixed), _ints(table, "_state")
         nxt = _next_window(x, width, gid, ends)
         below = np.bincount(gid, weights=x < carried, minlength=len(starts)).astype(np.int64)
@@ -187,7 +187,7 @@ def _finish(batches: Iterator[pa.RecordBatch], payload: list[str], fixed: int |
         opened = np.maximum.accumulate(np.where(first, np.arange(len(x)), -1))
         inside = opened >= starts[gid]
         start = np.where(inside, x[np.maximum(opened, 0)], carried - width)
-        yield from _emit(table, np.arange(len(x)), payload, win_start=start, win_first=first)
+        yield from emit(table, np.arange(len(x)), payload, win_start=start, win_first=first)
 
 
 # --- the operator ------------------------------------------------------------
@@ -196,7 +196,7 @@ def _key(keys: list[str]) -> Column:
     return F.to_json(F.struct(*[F.col(k) for k in keys]), {"ignoreNullFields": "false"})
 
 
-def _ordered(df: DataFrame, group: list[str], order: list) -> DataFrame:
+def ordered(df: DataFrame, group: list[str], order: list) -> DataFrame:
     """Rows grouped and sorted, numbered by ``i``.
 
     The window (and not a plain sort) tells Spark that groups must stay whole, so it will not
@@ -232,21 +232,21 @@ def anchored_windows(
     # both shuffles below are read twice; the explicit null filters keep the two reads identical,
     # so that Spark runs each of them once
     by_slice = rows.repartition("_k", "_slice")
-    steps = (_ordered(by_slice, ["_k", "_slice"], ["_x"])
+    steps = (ordered(by_slice, ["_k", "_slice"], ["_x"])
              .mapInArrow(lambda it: _slice_steps(it, fixed), "_k string, _slice long, entry long, leave long"))
     by_block = (steps.withColumn("_block", F.floor(F.col("_slice") / BLOCK_SLICES).cast("long"))
                 .where("_k IS NOT NULL AND _block IS NOT NULL").repartition("_k", "_block"))
-    blocks = (_ordered(by_block, ["_k", "_block"], ["_slice", "entry"])
+    blocks = (ordered(by_block, ["_k", "_block"], ["_slice", "entry"])
               .mapInArrow(_block_steps, "_k string, _block long, entry long, leave long"))
     initial = F.lit(width if opens_at_width else OPEN).cast("long")
-    block_state = (_ordered(blocks.withColumn("_state", initial), ["_k"], ["_block", "entry"])
+    block_state = (ordered(blocks.withColumn("_state", initial), ["_k"], ["_block", "entry"])
                    .mapInArrow(lambda it: _walk(it, "_block"), "_k string, _block long, _state long"))
-    slice_state = (_ordered(by_block.join(block_state, ["_k", "_block"]), ["_k", "_block"], ["_slice", "entry"])
+    slice_state = (ordered(by_block.join(block_state, ["_k", "_block"]), ["_k", "_block"], ["_slice", "entry"])
                    .mapInArrow(lambda it: _walk(it, "_slice"), "_k string, _slice long, _state long"))
     payload = df.columns
     schema = T.StructType([*df.schema.fields, T.StructField("win_start", T.LongType()),
                            T.StructField("win_first", T.BooleanType())])
-    return (_ordered(by_slice.join(slice_state, ["_k", "_slice"]), ["_k", "_slice"], ["_x", *(order or [])])
+    return (ordered(by_slice.join(slice_state, ["_k", "_slice"]), ["_k", "_slice"], ["_x", *(order or [])])
             .mapInArrow(lambda it: _finish(it, payload, fixed), schema))
 
 

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from netsift.functions import text
 from netsift.functions.time import floor_to
-from netsift.operators.anchored import numbered, time_windows
+from netsift.operators.anchored import emit, group_bounds, numbered, ordered, time_windows, whole_groups
 from netsift.operators.common import dashed, findings
 
 SRC = "id_orig_h"
@@ -173,17 +176,21 @@ def sensor_nxdomain_ratio(dns: DataFrame, ratio: float = 0.70, min_queries: int
     whole = Window.partitionBy(*window)
     rows = (seen.withColumns({"c": F.count("*").over(whole), "m": F.count_if("nx").over(whole)})
             .where((F.col("c") > min_queries) & (F.col("m") > ratio * (min_queries + 1) - 1)).drop("c", "m"))
-    fields = {f.name: f.dataType.simpleString() for f in seen.schema.fields}
-    schema = ", ".join(f"`{c}` {fields[c]}" for c in [SRC, "ts", *order]) + ", nxdomains long, queries long"
-
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["ts", *order], kind="stable").reset_index(drop=True)
-        hits = _ratio_hits(pdf["nx"].to_numpy(dtype=bool), min_queries, ratio)
-        out = pdf.loc[[h[0] for h in hits], [SRC, "ts", *order]].copy()
-        out["nxdomains"], out["queries"] = [h[1] for h in hits], [h[2] for h in hits]
-        return out
-
-    hits = rows.groupBy(*window).applyInPandas(fold, schema)
+    keep = [SRC, "ts", *order]
+    schema = T.StructType([*[rows.schema[c] for c in keep], T.StructField("nxdomains", T.LongType()),
+                           T.StructField("queries", T.LongType())])
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_groups(batches):
+            missed = table.column("nx").to_numpy()
+            starts, ends, _ = group_bounds(table)
+            hits = [(s + at, bad, total) for s, e in zip(starts.tolist(), ends.tolist())
+                    for at, bad, total in _ratio_hits(missed[s:e], min_queries, ratio)]
+            if hits:
+                at, bad, total = (np.array(c, dtype=np.int64) for c in zip(*hits))
+                yield from emit(table, at, keep, nxdomains=bad, queries=total)
+
+    hits = ordered(rows, window, ["ts", *order]).mapInArrow(fold, schema)
     return findings(hits, "DNS_High_NXDOMAIN_Ratio",
                     F.format_string("NXDOMAIN ratio %.1f%% (%d/%d)", F.col("nxdomains") * 100.0 / F.col("queries"),
                                     "nxdomains", "queries"),
