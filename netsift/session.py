@@ -33,8 +33,13 @@ def local_session(cores: str = "*", partitions: int = 8, memory: str = "8g") ->
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Folder for streaming checkpoints: the one the cluster names, else a new local one (tests)."""
+    """Shared folder for checkpoints: the one the cluster names; a new local one only where the master is local (tests)."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    return tempfile.mkdtemp(prefix="netsift-checkpoint-")
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    folder = tempfile.mkdtemp(prefix="netsift-checkpoint-")
+    spark.conf.set("spark.checkpoint.dir", folder)
+    return folder
