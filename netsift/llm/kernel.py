@@ -142,3 +142,19 @@ def map_texts(docs: DataFrame, make, fields: str, keep: tuple[str, ...] = ("doc_
                 yield pa.RecordBatch.from_arrays(old + new, names)
 
     return picked.mapInArrow(run, schema)
+
+
+def text_column(make, kind: str):
+    """A column function: ``make()(bytes, offsets, null)`` gives one value per text, in Arrow batches."""
+    import collections.abc
+
+    arrow = {"boolean": pa.bool_(), "double": pa.float64()}[kind]
+
+    def run(columns: collections.abc.Iterator[pa.Array]) -> collections.abc.Iterator[pa.Array]:
+        work = make()
+        for column in columns:
+            found = [work(data, off, null) for _, _, data, off, null in parts(column)]
+            yield pa.array(np.concatenate(found) if found else np.zeros(0), arrow)
+
+    run.__annotations__ = {"columns": collections.abc.Iterator[pa.Array], "return": collections.abc.Iterator[pa.Array]}
+    return F.arrow_udf(run, kind)

@@ -125,3 +125,18 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
         "doc_id", F.when(known, F.col("lang_pred")).otherwise(UNKNOWN).alias("lang_pred"),
         F.when(known, F.col("score")).otherwise(0.0).alias("score"),
         (known & (F.col("score") >= threshold)).alias("accepted"))
+
+
+def accepted_rows(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of ``docs``, all columns, that ``identify`` accepts."""
+    bits, temperature, langs, bias = model.bits, model.temperature, model.langs, model.bias
+    tables = [np.ascontiguousarray(model.table[:, k]) for k in range(len(langs))]
+
+    def make():
+        features = hashed.Features(bits)
+        return lambda data, off, null: softmax((features.means(tables, data, off) + bias) / temperature).max(axis=1)
+
+    letter = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
+    if not langs:
+        return docs.where(F.lit(False))
+    return docs.where(letter & (kernel.text_column(make, "double")(F.col("text")) >= model.threshold))

@@ -197,3 +197,18 @@ def _among_partners(compared: DataFrame, groups: DataFrame, full: DataFrame, per
         return pa.table({"u": np.concatenate([empty, *us]), "v": np.concatenate([empty, *vs])})
 
     return native.unionByName(probe).groupBy("pivot", "t", "a").applyInArrow(compare, kind)
+
+
+def one_of_each(docs: DataFrame, percent: int = 80, width: int = 5) -> DataFrame:
+    """The rows of ``docs``, all columns, without all but the smallest id of each group; rows without an id stay.
+
+    Rows that repeat an id are copies of one document and one of them stays.
+    """
+    found = near_duplicates(docs, percent, width)
+    gone = found.where("not kept").select("doc_id").distinct()
+    stay = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    twice = docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    if not twice.limit(1).count():
+        return stay
+    once = stay.join(twice, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"])
+    return stay.join(twice, "doc_id", "left_anti").select(*docs.columns).unionByName(once)

@@ -166,3 +166,20 @@ def judge(docs: DataFrame, model: Model, keep_from: float = KEEP_FROM) -> DataFr
         F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEATED_PERCENT)
     return got.withColumn("base_failed", failed).withColumn("kept", ~failed & (F.col("good") >= keep_from)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "good")
+
+
+def kept_rows(docs: DataFrame, model: Model, keep_from: float = KEEP_FROM) -> DataFrame:
+    """The rows of ``docs``, all columns, that ``judge`` keeps."""
+    weights, bits, trained, m = [model.weights], model.bits, model.trained, model
+
+    def make():
+        features = hashed.Features(bits, fold=False)
+
+        def verdict(data, off, null):
+            n_words, _, _, _, repeated = counts(data, off)
+            good = _sigmoid(m.slope * (features.means(weights, data, off)[:, 0] + m.bias) + m.shift) if trained else 1.0
+            return (n_words >= MIN_WORDS) & (repeated * 100 <= n_words * MAX_REPEATED_PERCENT) & (good >= keep_from)
+
+        return verdict
+
+    return docs.where(kernel.text_column(make, "boolean")(F.col("text")))

@@ -7,12 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from netsift.llm import language, minhash, quality
+from netsift.llm import language, minhash, packing, pieces, pii, quality, repair
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+def TOKENIZER() -> str:
+    """Place of the byte-level BPE's file."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def query(fn):
     QUERIES[fn.__name__] = fn
     return fn
@@ -35,6 +42,29 @@ def op1_language_id(spark: SparkSession, sf: str) -> DataFrame:
     return language.identify(docs, model).select("doc_id", held.alias("held_out"), "lang_pred", "score", "accepted")
 
 
+@query
+def op5_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
+    return packing.pack(table(spark, sf, "documents"), TOKENIZER(), size=2048, end_id=0)
+
+
+@query
+def op6_personal_data(spark: SparkSession, sf: str) -> DataFrame:
+    return pii.personal_data(table(spark, sf, "documents"))
+
+
+@query
+def op7_token_files(spark: SparkSession, sf: str) -> DataFrame:
+    return repair.read(repair.write(table(spark, sf, "documents"), TOKENIZER(), end_id=2))
+
+
+@query
+def op8_pieces(spark: SparkSession, sf: str) -> DataFrame:
+    import public_tokenizers
+
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    return pieces.encode(table(spark, sf, "documents"), model, digest=True)
+
+
 @query
 def op9_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
