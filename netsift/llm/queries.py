@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from netsift.llm import language, minhash, packing, pieces, pii, quality, repair
+from netsift.llm import language, minhash, packing, pieces, pii, ppm, quality, repair, vectors, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -42,6 +42,23 @@ def op1_language_id(spark: SparkSession, sf: str) -> DataFrame:
     return language.identify(docs, model).select("doc_id", held.alias("held_out"), "lang_pred", "score", "accepted")
 
 
+@query
+def op2_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:
+    scored = ppm.score(table(spark, sf, "documents"), remainder(10) != 0)
+    held = F.coalesce(remainder(10) == 0, F.lit(False))
+    return scored.select("doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query
+def op3_warc_chunks(spark: SparkSession, sf: str) -> DataFrame:
+    return warc.payloads(warc.write(warc.records(table(spark, sf, "pages"))))
+
+
+@query
+def op4_embedding_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return vectors.near_duplicates(table(spark, sf, "embeddings"), threshold=0.93)
+
+
 @query
 def op5_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(table(spark, sf, "documents"), TOKENIZER(), size=2048, end_id=0)
