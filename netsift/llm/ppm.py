@@ -21,7 +21,7 @@ from netsift.llm import kernel
 from netsift.llm.scratch import written
 
 U = np.uint64
-ORDER = 4
+ORDER = 5
 START, END, SYMBOLS = 0xFF, 0xFE, 257
 HEAVY = {1: 1 << 18, 2: 1 << 19}
 WORD, GRAM = 1, 2
@@ -116,11 +116,11 @@ def gram_scores(counted: DataFrame) -> DataFrame:
                  .join(by_order[k - 1].select(F.col("key").alias("low"), F.col("n").alias("m")), "low")
                  .groupBy(F.shiftrightunsigned("key", 8).alias("c")).agg(F.sum("m").alias("excluded")))
         stats[k] = stats[k].join(below, "c")
-    want = counted.select("key", F.shiftrightunsigned("key", 8).alias("c4"))
-    contexts = want.select("c4").distinct()
+    want = counted.select("key", F.shiftrightunsigned("key", 8).alias("c5"))
+    contexts = want.select("c5").distinct()
     for k in range(ORDER, 0, -1):
         own = stats[k].select(F.col("c").alias("own"), F.col("total").alias(f"t{k}"), F.col("kinds").alias(f"d{k}"), F.col("excluded").alias(f"x{k}"))
-        contexts = contexts.join(own, F.col("c4").bitwiseAND((1 << 8 * k) - 1) == F.col("own"), "left").drop("own")
+        contexts = contexts.join(own, F.col("c5").bitwiseAND((1 << 8 * k) - 1) == F.col("own"), "left").drop("own")
     root = stats[0].agg(F.max("total").alias("t0"), F.max("kinds").alias("d0")).first()
     contexts = contexts.withColumns({"t0": F.lit(root["t0"] or 0).cast("long"), "d0": F.lit(root["d0"] or 0).cast("long")})
     zero = F.lit(0).cast("long")
@@ -136,12 +136,12 @@ def gram_scores(counted: DataFrame) -> DataFrame:
         longer_kinds = kinds
         longer_excluded = F.coalesce(f"x{k}", zero) if k else zero
     steps["e_"], steps["r_"] = escape, (SYMBOLS - F.coalesce("d0", zero)).cast("double")
-    contexts = written(contexts.select("c4", *[v.alias(n) for n, v in steps.items()]), "contexts")
+    contexts = written(contexts.select("c5", *[v.alias(n) for n, v in steps.items()]), "contexts")
 
-    rows = want.join(contexts, "c4")
+    rows = want.join(contexts, "c5")
     for k in range(ORDER, -1, -1):
         own = by_order[k].select(F.col("key").alias("low"), F.col("n").alias(f"n{k}"))
-        own = F.broadcast(own) if k < 2 else own  # at most 257 or 66,049 rows
+        own = F.broadcast(own) if k < 2 else own  # at most 256 or 65,536 rows
         rows = rows.join(own, F.col("key").bitwiseAND((1 << 8 * (k + 1)) - 1) == F.col("low"), "left").drop("low")
     score = F.col("e_") - F.log10(F.greatest("r_", F.lit(1.0)))
     for k in range(ORDER + 1):
