@@ -13,7 +13,7 @@ unless the triangle inequality of the Jaccard distance rules a link out, so no p
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,6 +21,7 @@ from netsift.llm import graph, kernel
 from netsift.llm.scratch import written
 
 U = np.uint64
+BITMAP = 26  # log2 of the bits that tell which rows' sets are wanted
 TILE = 1 << 20  # shingles held per side when two groups of classes are compared in a task
 
 
@@ -89,13 +90,56 @@ def signatures(docs: DataFrame, width: int, a: int, m: int, keep=("doc_id",)) ->
     return kernel.map_texts(docs, make, "n_shingles long, f1 long, f2 long, left array<long>, right array<long>", keep)
 
 
-def sets(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, shingles (sorted distinct hashes)."""
+def sets(docs: DataFrame, width: int, wanted: DataFrame) -> DataFrame:
+    """doc_id, shingles (sorted distinct hashes) of the rows whose id is in ``wanted(id)``, and of a few others.
 
-    def make():
-        return lambda data, off, null: [_lists(*shingles(data, off, width))]
+    The ids go out as a bit map of fixed size, so texts are not shuffled; where it fills up, more of the other
+    rows come along, and the joins that follow drop them.
+    """
+    spark = docs.sparkSession
+    bit = F.pmod(F.xxhash64("id"), F.lit(1 << BITMAP))
+    words = (wanted.select(F.shiftright(bit, 6).alias("w"), F.expr("shiftleft(1L, int(pmod(xxhash64(id), 64)))").alias("b"))
+             .groupBy("w").agg(F.bit_or("b").alias("b")).toArrow())
+    sent = spark.sparkContext.broadcast((words.column(0).to_numpy(), words.column(1).to_numpy()))
+
+    def run(batches):
+        import pyarrow as pa
+
+        at, bits = sent.value
+        bitmap = np.zeros(1 << BITMAP >> 6, np.int64)
+        bitmap[at] = bits
+        for batch in batches:
+            where = batch.column(1).to_numpy()
+            keep = np.flatnonzero((bitmap[where >> 6] >> (where & 63)) & 1)
+            some = batch.take(pa.array(keep))
+            for i, j, data, off, _ in kernel.parts(some.column(2)):
+                yield pa.RecordBatch.from_arrays([some.column(0).slice(i, j - i), _lists(*shingles(data, off, width))], ["id", "shingles"])
+
+    known = docs.where("doc_id is not null").select(
+        F.col("doc_id").alias("id"), F.pmod(F.xxhash64("doc_id"), F.lit(1 << BITMAP)).alias("bit"), F.col("text").cast("string").alias("text"))
+    kind = known.schema["id"].dataType.simpleString()
+    return known.mapInArrow(run, f"id {kind}, shingles array<long>")
+
+
+def stars(classes: DataFrame) -> DataFrame:
+    """pivot, id: every class with the smallest class of each table key it shares.
+
+    Half bands of more than a thousandth of all classes (no more than 1000 m of them) take a way that joins and
+    can be split; the keys of all others are grouped by one shuffle.
+    """
+    halves = classes.select("id", F.explode("left").alias("l"), "right")
+    often = halves.groupBy("l").count().where(F.col("count") * 1000 > max(classes.count(), 2000)).select("l")
+    often = F.broadcast(written(often, "often"))
+
+    def keyed(rows):
+        return rows.select("id", "l", F.explode("right").alias("r")).select("id", F.xxhash64("l", "r").alias("key"))
 
-    return kernel.map_texts(docs, make, "shingles array<long>")
+    first = Window.partitionBy("key").orderBy("id").rowsBetween(Window.unboundedPreceding, 0)
+    usual = keyed(halves.join(often, "l", "left_anti")).withColumn("pivot", F.first("id").over(first))
+    hot = keyed(halves.join(often, "l"))
+    pivots = hot.groupBy("key").agg(F.min("id").alias("pivot"), F.count("*").alias("n")).where("n > 1")
+    hot = hot.join(pivots, "key")
+    return usual.select("pivot", "id").where("id <> pivot").unionByName(hot.select("pivot", "id").where("id <> pivot")).distinct()
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80, width: int = 5, a: int = 3, m: int = 12) -> DataFrame:
@@ -110,15 +154,9 @@ def near_duplicates(docs: DataFrame, percent: int = 80, width: int = 5, a: int =
     able = signed.where("n_shingles > 0 and doc_id is not null")
     classes = written(able.groupBy("n_shingles", "f1", "f2").agg(F.min(F.struct("doc_id", "left", "right")).alias("r"))
                       .select("n_shingles", "f1", "f2", F.col("r.doc_id").alias("id"), "r.left", "r.right"), "classes")
-    keys = (classes.select("id", F.explode("left").alias("l"), "right")
-            .select("id", "l", F.explode("right").alias("r")).select("id", F.xxhash64("l", "r").alias("key")))
-    pivots = keys.groupBy("key").agg(F.min("id").alias("pivot"), F.count("*").alias("n")).where("n > 1")
-    star = written(keys.join(pivots, "key").where("id <> pivot").select("pivot", "id").distinct(), "star")
-
-    met = star.select("id").unionByName(star.select(F.col("pivot").alias("id"))).distinct()
-    full = written(sets(docs.join(met.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi"), width)
-                   .groupBy("doc_id").agg(F.max("shingles").alias("shingles"))
-                   .withColumnRenamed("doc_id", "id"), "sets")
+    star = written(stars(classes), "star")
+    met = star.select("id").unionByName(star.select(F.col("pivot").alias("id")))
+    full = written(sets(docs, width, met), "sets")
     shared = F.size(F.array_intersect("shingles", "other"))
     union = F.size("shingles") + F.size("other") - F.col("shared")
     compared = written(
