@@ -121,14 +121,15 @@ def sets(docs: DataFrame, width: int, wanted: DataFrame) -> DataFrame:
     return known.mapInArrow(run, f"id {kind}, shingles array<long>")
 
 
-def stars(classes: DataFrame) -> DataFrame:
+def stars(classes: DataFrame, one_task: int = 1_000_000) -> DataFrame:
     """pivot, id: every class with the smallest class of each table key it shares.
 
-    Half bands of more than a thousandth of all classes (no more than 1000 m of them) take a way that joins and
-    can be split; the keys of all others are grouped by one shuffle.
+    Half bands of more than ``one_task`` rows and more than a thousandth of all classes (no more than 1000 m of them)
+    take a way that joins and can be split; the keys of all others are grouped by one shuffle, since up to a million
+    rows of two numbers are no burden for a task.
     """
     halves = classes.select("id", F.explode("left").alias("l"), "right")
-    often = halves.groupBy("l").count().where(F.col("count") * 1000 > max(classes.count(), 2000)).select("l")
+    often = halves.groupBy("l").count().where(F.col("count") > max(classes.count() / 1000, one_task)).select("l")
     often = F.broadcast(written(often, "often"))
 
     def keyed(rows):
