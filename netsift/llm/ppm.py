@@ -108,20 +108,22 @@ def gram_scores(counted: DataFrame) -> DataFrame:
     for k in range(ORDER - 1, -1, -1):
         by_order[k] = by_order[k + 1].groupBy(F.col("key").bitwiseAND((1 << 8 * (k + 1)) - 1).alias("key")).agg(F.sum("n").alias("n"))
     by_order = {k: written(t, f"order{k}") for k, t in by_order.items()}
-    stats = {k: t.groupBy(F.shiftrightunsigned("key", 8).alias("c")).agg(F.sum("n").alias("total"), F.count("*").alias("kinds"))
-             for k, t in by_order.items()}
-    # what a longer context's followers weigh one order below: they are excluded there
-    for k in range(1, ORDER + 1):
-        below = (by_order[k].withColumn("low", F.col("key").bitwiseAND((1 << 8 * k) - 1))
-                 .join(by_order[k - 1].select(F.col("key").alias("low"), F.col("n").alias("m")), "low")
-                 .groupBy(F.shiftrightunsigned("key", 8).alias("c")).agg(F.sum("m").alias("excluded")))
-        stats[k] = stats[k].join(below, "c")
-    want = counted.select("key", F.shiftrightunsigned("key", 8).alias("c5"))
+    known = by_order[ORDER].withColumn("c", F.shiftrightunsigned("key", 8))
+    known = known.join(known.groupBy("c").agg(F.sum("n").alias("total"), F.count("*").alias("kinds")), "c").select(
+        "key", F.log10(F.col("n") / (F.col("total") + F.col("kinds"))).alias("score"))
+
+    # grams of no training text go through the escapes; only their contexts are looked at from here on
+    want = counted.where("n = 0").select("key", F.shiftrightunsigned("key", 8).alias("c5"))
     contexts = want.select("c5").distinct()
     for k in range(ORDER, 0, -1):
-        own = stats[k].select(F.col("c").alias("own"), F.col("total").alias(f"t{k}"), F.col("kinds").alias(f"d{k}"), F.col("excluded").alias(f"x{k}"))
+        needed = contexts.select(F.col("c5").bitwiseAND((1 << 8 * k) - 1).alias("own")).distinct()
+        rows = by_order[k].withColumn("own", F.shiftrightunsigned("key", 8)).join(needed, "own", "left_semi")
+        # what a longer context's followers weigh one order below: they are excluded there
+        below = by_order[k - 1].select(F.col("key").alias("low"), F.col("n").alias("m"))
+        own = rows.withColumn("low", F.col("key").bitwiseAND((1 << 8 * k) - 1)).join(below, "low").groupBy("own").agg(
+            F.sum("n").alias(f"t{k}"), F.count("*").alias(f"d{k}"), F.sum("m").alias(f"x{k}"))
         contexts = contexts.join(own, F.col("c5").bitwiseAND((1 << 8 * k) - 1) == F.col("own"), "left").drop("own")
-    root = stats[0].agg(F.max("total").alias("t0"), F.max("kinds").alias("d0")).first()
+    root = by_order[0].agg(F.sum("n").alias("t0"), F.count("*").alias("d0")).first()
     contexts = contexts.withColumns({"t0": F.lit(root["t0"] or 0).cast("long"), "d0": F.lit(root["d0"] or 0).cast("long")})
     zero = F.lit(0).cast("long")
     # from the longest context down: room (counts plus escape) at each order, and the escapes taken so far
@@ -146,7 +148,7 @@ def gram_scores(counted: DataFrame) -> DataFrame:
     score = F.col("e_") - F.log10(F.greatest("r_", F.lit(1.0)))
     for k in range(ORDER + 1):
         score = F.when(F.col(f"n{k}").isNotNull(), F.col(f"e{k}") + F.log10(F.col(f"n{k}") / F.col(f"r{k}"))).otherwise(score)
-    return written(rows.select("key", score.alias("score")), "scores")
+    return written(known.unionByName(rows.select("key", score.alias("score"))), "scores")
 
 
 class Lookup:
