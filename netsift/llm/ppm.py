@@ -23,7 +23,7 @@ from netsift.llm.scratch import written
 U = np.uint64
 ORDER = 5
 START, END, SYMBOLS = 0xFF, 0xFE, 257
-HEAVY = {1: 1 << 18, 2: 1 << 19}
+HEAVY = {1: 1 << 21, 2: 1 << 22}
 WORD, GRAM = 1, 2
 END_WORD = int(kernel.mix(np.array([0x454E44], np.uint64)).view(np.int64)[0])
 

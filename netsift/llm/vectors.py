@@ -65,7 +65,7 @@ def _links(unit, ids, weight, sig, table_no, side, threshold):
     return i[~seen], j[~seen]
 
 
-def near_duplicates(vectors: DataFrame, threshold: float = 0.93, tables: int = 48, hashes: int = 12, cell: float = 0.25,
+def near_duplicates(vectors: DataFrame, threshold: float = 0.93, tables: int = 48, hashes: int = 12, cell: float = 2.0,
                     tile: int = 2048, seed: int = 5) -> DataFrame:
     """vec_id, n_links, component_id, kept: one row per input row.
 
