@@ -18,7 +18,6 @@ from netsift.operators.intervals import pair_features
 
 FEATURES = ["interval_mean", "interval_std", "interval_cv", "interval_min", "interval_max", "connection_count",
             "bytes_mean", "bytes_std", "duration_mean"]
-POOL = 4096          # rows the trees draw their samples from
 NODES = "tree int, node int, feature int, split double, left int, right int, size long"
 
 
@@ -112,9 +111,13 @@ class IsolationForest:
 def fit(rows: DataFrame, trees: int = 200, sample: int = 256, contamination: float = 0.05, seed: int = 42,
         keys: list[str] = ("src", "dst"), features: list[str] = FEATURES) -> IsolationForest:
     """Grow the trees and set the cut-off at the ``contamination`` quantile of the training scores."""
-    pool = rows.orderBy(F.xxhash64(F.lit(seed), *keys), *keys).limit(POOL).select(*keys, *features)
-    draw = pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-    w = Window.partitionBy("tree").orderBy(F.xxhash64(F.lit(seed), "tree", *keys), *keys)
+    rows = rows.select(*keys, *features)
+    # every row may enter every tree: twice the sample is let through by hash, the smallest hashes stay
+    share = min(1.0, 2 * sample / max(rows.count(), 1))
+    wanted = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)),
+                      lambda t: F.pmod(F.xxhash64(F.lit(seed), t, *keys), F.lit(1 << 30)) < int(share * (1 << 30)))
+    draw = rows.withColumn("tree", F.explode(wanted))
+    w = Window.partitionBy("tree").orderBy(F.pmod(F.xxhash64(F.lit(seed), "tree", *keys), F.lit(1 << 30)), *keys)
     samples = draw.withColumn("r", F.row_number().over(w)).where(F.col("r") <= sample).drop("r")
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -127,7 +130,7 @@ def fit(rows: DataFrame, trees: int = 200, sample: int = 256, contamination: flo
         raise ValueError("no pair has enough events to train on")
     used = int(grown.loc[grown["node"] == 0, "size"].max())
     model = IsolationForest(spark.createDataFrame(grown, NODES), used)
-    scores = model.score(rows.select(*keys, *features), features)
+    scores = model.score(rows, features)
     model.cutoff = scores.agg(F.percentile_approx("anomaly_score", contamination, 100_000)).first()[0]
     return model
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from netsift.functions import text
 from netsift.operators.common import top
+from netsift.session import checkpoint_dir
 
 
 def confidence_bands(beacons: DataFrame, column: str = "confidence") -> DataFrame:
@@ -69,15 +71,28 @@ def beacon_details(beacons: DataFrame, n: int = 10) -> DataFrame:
     return ranked.select("rank", body.alias("line"))
 
 
-def alert_table(alerts: DataFrame, n: int = 1000) -> DataFrame:
-    """Markdown rows of the first ``n`` alerts by severity."""
+def alert_table(alerts: DataFrame) -> DataFrame:
+    """Markdown rows of all alerts, most severe first.
+
+    The sorted rows are written to the shared folder once; ranks are the place in a partition plus the rows of the
+    partitions before it, so no task sees all alerts.
+    """
     from netsift.operators.exfil import by_severity
 
-    rank = F.when(F.col("severity") == "HIGH", 1).when(F.col("severity") == "MEDIUM", 2).otherwise(3)
-    best = top(by_severity(alerts).withColumn("_s", rank), n, "_s", "type", "src", "detail")
+    spark = alerts.sparkSession
+    path = f"{checkpoint_dir(spark)}/netsift-alerts-{uuid.uuid4().hex}"
+    by_severity(alerts).select("type", "severity", "src", "detail", F.monotonically_increasing_id().alias("_at")).write.parquet(path)
+    rows = spark.read.parquet(path).withColumn("_part", F.shiftright("_at", 33))
+    begin, before = [], 0
+    for part, n in sorted((r[0], r[1]) for r in rows.groupBy("_part").count().collect()):    # one row per partition
+        begin.append((part, before))
+        before += n
+    base = spark.createDataFrame(begin, "_part long, _before long")
+    ranked = rows.join(F.broadcast(base), "_part").withColumn(
+        "rank", (F.col("_before") + F.col("_at").bitwiseAND((1 << 33) - 1) + 1).cast("int"))
     dash = lambda c: F.coalesce(F.col(c), F.lit("-"))
     line = F.format_string("| %d | %s | %s | %s | %s |", "rank", dash("type"), dash("severity"), dash("src"), dash("detail"))
-    return best.select("rank", line.alias("line"))
+    return ranked.select("rank", line.alias("line"))
 
 
 def domain_table(suspects: DataFrame, n: int = 30) -> DataFrame:

@@ -501,12 +501,11 @@ def report_flagged_per_source(spark, sf):
 
 
 @query("host_timeline", """
-SELECT t AS ts_us, id_orig_h AS host, 'conn' AS source, id_resp_h || ':' || id_resp_p AS text FROM conn WHERE id_resp_p = 6606
-UNION ALL SELECT t, id_orig_h, 'dns', query FROM dns WHERE qtype_name = 'TXT'
+SELECT t AS ts_us, id_orig_h AS host, 'conn' AS source, id_resp_h || ':' || id_resp_p AS text FROM conn
+UNION ALL SELECT t, id_orig_h, 'dns', query FROM dns
 UNION ALL SELECT t, src_ip, 'alert', signature FROM alerts WHERE event_type = 'alert'""", ["conn", "dns", "alerts"])
 def host_timeline(spark, sf):
-    conn = bind.conn(spark, sf).where("id_resp_p = 6606")
-    dns = bind.dns(spark, sf).where("qtype_name = 'TXT'")
+    conn, dns = bind.conn(spark, sf), bind.dns(spark, sf)
     alerts = bind.alert_events(spark, sf).where("event_type = 'alert'")
     return plain(reports.timeline([
         reports.timeline_part(conn, "id_orig_h", "conn", F.concat_ws(":", "id_resp_h", F.col("id_resp_p").cast("string"))),

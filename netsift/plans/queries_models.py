@@ -100,19 +100,19 @@ def label_features(spark, sf):
 
 @query("dga_detect")
 def dga_detect(spark, sf):
-    model, _ = dga.train(_labelled(spark, sf), "domain", trees=20)
+    model, _ = dga.train(_labelled(spark, sf), "domain")
     return dga.detect(_mixed_dns(spark, sf), model)
 
 
 @query("dga_metrics")
 def dga_metrics(spark, sf):
-    model, held = dga.train(_labelled(spark, sf), "domain", trees=20)
+    model, held = dga.train(_labelled(spark, sf), "domain")
     return dga.metrics(model, held)
 
 
 @query("dga_classify")
 def dga_classify(spark, sf):
-    model, _ = dga.train(_labelled(spark, sf), "label", trees=20, depth=10)
+    model, _ = dga.train(_labelled(spark, sf), "label")
     names = _mixed_dns(spark, sf).select(F.lower("query").alias("domain")).distinct()
     return dga.classify(names, model)
 
@@ -120,7 +120,7 @@ def dga_classify(spark, sf):
 @query("isolation_forest")
 def isolation_forest(spark, sf):
     conn = bind.conn(spark, sf)
-    model = iforest.fit(intervals.pair_features(conn), trees=50)
+    model = iforest.fit(intervals.pair_features(conn))
     return iforest.detect(conn, model)
 
 

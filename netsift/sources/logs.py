@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,30 +36,46 @@ def coerce(values: dict[str, Column], kind: str) -> list[Column]:
     return [_as_type(c, declared.get(name, "string")).alias(name.replace(".", "_")) for name, c in values.items()]
 
 
+def _lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    return spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
+
+
+def _headers(spark: SparkSession, path: str | list[str]) -> dict[tuple[str, ...], list[str]]:
+    """Field names of each distinct header with the files that carry it; only headers reach the driver."""
+    found = (_lines(spark, path).where(F.startswith("value", F.lit("#fields")))
+             .groupBy("file").agg(F.collect_set("value").alias("headers")).collect())
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for file, headers in found:
+        if len(headers) > 1:
+            raise ValueError(f"{file} changes its #fields within the file; split it at its headers")
+        groups.setdefault(tuple(headers[0].split("\t")[1:]), []).append(unquote(file))
+    return groups
+
+
 def read_tsv(spark: SparkSession, path: str | list[str], kind: str | None = None) -> DataFrame:
     """TSV logs whose columns come from each file's own ``#fields`` line.
 
-    Lines with another number of fields than their header are dropped, as are other ``#`` lines.
-    Files may differ in columns; a column a file lacks is null for its rows.
+    Lines with another number of fields than their header are dropped, as are other ``#`` lines and files without
+    a header.  Files may differ in columns; a column a file lacks is null for its rows.  Files of one header are
+    read together, so lines are neither joined nor shuffled.  A file whose headers differ raises ValueError.
     """
     kind = kind or kind_of(path)
-    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
-    headers = (lines.where(F.startswith("value", F.lit("#fields"))).groupBy("file")
-               .agg(F.slice(F.split(F.max("value"), "\t"), 2, 100_000).alias("fields")))
-    names = [r[0] for r in headers.select(F.explode("fields").alias("f")).distinct().collect()]
-    if not names:
+    groups = _headers(spark, path)
+    if not groups:
         return spark.createDataFrame([], T.StructType([]))
     declared = list(schemas.columns(kind))
-    names.sort(key=lambda n: (declared.index(n) if n in declared else len(declared), n))
-    parts = F.split("value", "\t", -1)
-    rows = (lines.where(~F.startswith("value", F.lit("#"))).join(headers, "file")
-            .withColumn("parts", parts).where(F.size("parts") == F.size("fields")))
-
-    def value(name: str) -> Column:
-        raw = F.get(F.col("parts"), (F.array_position("fields", F.lit(name)) - 1).cast("int"))
-        return F.nullif(raw, F.lit(UNSET))
-
-    return rows.select(*coerce({n: value(n) for n in names}, kind))
+    names = sorted({n for fields in groups for n in fields},
+                   key=lambda n: (declared.index(n) if n in declared else len(declared), n))
+    whole = None
+    for fields, files in groups.items():
+        rows = spark.read.text(files).where(~F.startswith("value", F.lit("#"))).select(
+            F.split("value", "\t", -1).alias("parts")).where(F.size("parts") == len(fields))
+        place = {n: i for i, n in enumerate(fields)}
+        values = {n: F.nullif(F.get("parts", F.lit(place[n])), F.lit(UNSET)) if n in place else F.lit(None).cast("string")
+                  for n in names}
+        part = rows.select(*coerce(values, kind))
+        whole = part if whole is None else whole.unionByName(part)
+    return whole
 
 
 def json_schema(kind: str, extra: list[str] = ()) -> T.StructType:
@@ -70,9 +87,19 @@ def _from_json(df: DataFrame, kind: str) -> DataFrame:
     return df.select(*coerce(values, kind))
 
 
-def read_json(spark: SparkSession, path: str | list[str], kind: str | None = None, extra: list[str] = ()) -> DataFrame:
-    """JSON-lines logs with the declared columns (and ``extra`` ones as text); unreadable lines are dropped."""
+def undeclared(spark: SparkSession, path: str | list[str], kind: str) -> list[str]:
+    """Names of the fields in JSON lines that the log kind does not declare, from all lines."""
+    names = spark.read.text(path).select(F.explode(F.map_keys(F.from_json("value", "map<string,string>"))).alias("n")).distinct()
+    return sorted(r.n for r in names.where(~F.col("n").isin(*schemas.columns(kind))).collect())
+
+
+def read_json(spark: SparkSession, path: str | list[str], kind: str | None = None, extra: list[str] | None = None) -> DataFrame:
+    """JSON-lines logs: the declared columns, and all others as text; unreadable lines are dropped.
+
+    The names of other fields are looked up in one pass over the lines; naming them in ``extra`` saves that pass.
+    """
     kind = kind or kind_of(path)
+    extra = undeclared(spark, path, kind) if extra is None else extra
     raw = spark.read.schema(json_schema(kind, extra)).json(path, mode="DROPMALFORMED")
     return _from_json(raw, kind)
 
@@ -94,15 +121,21 @@ def kind_of(path: str | list[str]) -> str:
     return os.path.basename(first.rstrip("/")).split(".")[0]
 
 
-def is_json(spark: SparkSession, path: str | list[str]) -> bool:
-    head = spark.read.text(path).limit(1).first()
-    return head is not None and head.value.strip().startswith("{")
+def formats(spark: SparkSession, path: str | list[str]) -> tuple[list[str], list[str]]:
+    """Files with a ``#fields`` line, and the other files that hold JSON objects."""
+    kinds = _lines(spark, path).groupBy("file").agg(
+        F.max(F.startswith("value", F.lit("#fields"))).alias("tsv"), F.max(F.startswith(F.ltrim("value"), F.lit("{"))).alias("json")).collect()
+    return [unquote(r.file) for r in kinds if r.tsv], [unquote(r.file) for r in kinds if r.json and not r.tsv]
 
 
 def read_log(spark: SparkSession, path: str | list[str], kind: str | None = None) -> DataFrame:
-    """Read a log in whichever of the two formats its first line shows."""
-    reader = read_json if is_json(spark, path) else read_tsv
-    return reader(spark, path, kind)
+    """Read logs in either format, file by file; a column that one format lacks is null for its rows."""
+    kind = kind or kind_of(path)
+    tsv, objects = formats(spark, path)
+    if not objects:
+        return read_tsv(spark, tsv or path, kind)
+    found = read_json(spark, objects, kind)
+    return read_tsv(spark, tsv, kind).unionByName(found, allowMissingColumns=True) if tsv else found
 
 
 def _loader(kind: str) -> Callable[[SparkSession, str], DataFrame]:

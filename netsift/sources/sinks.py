@@ -37,7 +37,9 @@ def write_beacon_report(beacons: DataFrame, path: str, rows: int = 20, details:
                   reports.beacon_details(beacons, details)], path)
 
 
-def write_alert_report(alerts: DataFrame, path: str, rows: int = 1000) -> None:
+def write_alert_report(alerts: DataFrame, path: str) -> None:
+    """All alerts, most severe first; the report is as many files as it needs, in the order of their names."""
     head = _heading(alerts, "# Exfiltration Detection Report", "", "| # | Type | Severity | Source | Detail |",
                     "|---|------|----------|--------|--------|")
-    _write_lines([head, reports.alert_table(alerts, rows)], path)
+    whole = head.unionByName(reports.alert_table(alerts))
+    whole.orderBy("rank").select("line").write.mode("overwrite").text(path)

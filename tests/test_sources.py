@@ -3,6 +3,8 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
+import pytest
+
 from netsift.operators import ecs, filters
 from netsift.sources import alerts, logs, sinks, store, wordlists
 
@@ -106,3 +108,35 @@ def test_every_loader(spark, tmp_path):
     for name in ("conn", "dns", "http", "ssl", "notice", "files", "weird"):
         path = write(tmp_path / f"{name}.log", "#fields\tts\tuid\n1.5\tA\n")
         assert getattr(logs, name)(spark, path).first().uid == "A"
+
+
+def test_formats_are_decided_per_file(spark, tmp_path):
+    write(tmp_path / "conn.1.log", "#fields\tts\tuid\tproto\n1.5\tA\ttcp\n")
+    write(tmp_path / "conn.2.log", '{"ts": 2.5, "uid": "B", "proto": "udp", "vlan": 7, "tags": ["x", "y"]}\n')
+    write(tmp_path / "conn.3.log", "#fields\tts\tproto\tuid\n3.5\ticmp\tC\n")
+    rows = {r.uid: r for r in logs.read_log(spark, str(tmp_path / "conn.*.log"), "conn").collect()}
+    assert {u: r.proto for u, r in rows.items()} == {"A": "tcp", "B": "udp", "C": "icmp"}
+    assert rows["B"].vlan == "7" and json.loads(rows["B"].tags) == ["x", "y"] and rows["A"].tags is None
+
+
+def test_two_headers_in_one_file_are_refused(spark, tmp_path):
+    path = write(tmp_path / "conn.log", "#fields\tts\tuid\tproto\n1.5\tA\ttcp\n#fields\tts\tproto\tuid\n2.5\tudp\tB\n")
+    with pytest.raises(ValueError, match="headers"):
+        logs.read_tsv(spark, path)
+
+
+def test_tsv_lines_are_not_shuffled(spark, tmp_path, capsys):
+    path = write(tmp_path / "conn.log", "#fields\tts\tuid\tproto\n1.5\tA\ttcp\n")
+    logs.read_tsv(spark, path).explain()
+    assert "Exchange" not in capsys.readouterr().out
+
+
+def test_alert_table_keeps_all_and_ranks_critical_first(spark):
+    from netsift.operators import reports
+
+    rows = [(f"t{i}", s, "h", "d") for i, s in enumerate(["LOW", "MEDIUM", "CRITICAL", "HIGH"] * 400)]
+    alerts = spark.createDataFrame(rows, "type string, severity string, src string, detail string").repartition(7)
+    table = reports.alert_table(alerts).orderBy("rank").collect()
+    assert [r["rank"] for r in table] == list(range(1, 1601))
+    order = [r.line.split(" | ")[2] for r in table]
+    assert order == ["CRITICAL"] * 400 + ["HIGH"] * 400 + ["MEDIUM"] * 400 + ["LOW"] * 400
