@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from netsift.llm import kernel
 
 MARK = "▁"
-WORDS_KEPT = 400_000
+WORDS_KEPT = 250_000
 
 
 def fields(message: bytes):

@@ -89,12 +89,12 @@ def gather(docs: DataFrame, learn: Column) -> DataFrame:
                         keys, use = keys[use > 0], use[use > 0]
                     held[kind] += _merged([(keys, use)])
                     waiting += len(held[kind][-1][0])
-            if waiting > 3_000_000:
+            if waiting > 1_000_000:
                 for kind in held:
                     if held[kind]:
                         held[kind] = _merged(held[kind])
                 waiting = 0
-                if sum(len(p[0]) for parts in held.values() for p in parts) > 4_000_000:
+                if sum(len(p[0]) for parts in held.values() for p in parts) > 1_500_000:
                     yield from flush()
         yield from flush()
 

@@ -26,6 +26,8 @@ def query(fn):
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    # whole texts travel in Arrow batches: few rows a batch keep the workers small
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
