@@ -7,6 +7,7 @@ space or an added token's string go to the library whole.  The result equals the
 
 from __future__ import annotations
 
+import itertools
 import os
 
 import numpy as np
@@ -36,6 +37,16 @@ def _classes() -> np.ndarray:
     return kind
 
 
+def _alphabet() -> np.ndarray:
+    """The character that stands for each byte in the model's alphabet: itself if it is visible, else one from 256 on."""
+    visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    out = np.zeros(256, "<u2")
+    out[visible] = visible
+    rest = np.setdiff1d(np.arange(256), visible)
+    out[rest] = 256 + np.arange(len(rest))
+    return out
+
+
 class WordEncoder:
     """Ids per word with a bounded memory of words; one per Python worker."""
 
@@ -45,12 +56,14 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.line = self.whole("\n")
+        self.model = self.tokenizer.model
+        self.alphabet = _alphabet()
         self.kind = _classes()
         self.clear()
 
     def clear(self) -> None:
-        self.number: dict[int, int] = {}
+        self.known = np.zeros(0, np.uint64)  # hashes of the words in memory, ascending, and their slots
+        self.slot = np.zeros(0, np.int64)
         self.begin = np.zeros(1 << 16, np.int64)
         self.size = np.zeros(1 << 16, np.int64)
         self.flat = np.zeros(1 << 18, np.uint32)
@@ -59,30 +72,30 @@ class WordEncoder:
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
 
-    def learn(self, hashes: list[int], spans: list[bytes]) -> None:
-        """Encode new words: those without white space joined by line ends, the rest one by one."""
-        at = [k for k, w in enumerate(spans) if not w[-1:].isspace()]
-        found: dict[int, np.ndarray] = {}
-        for a in range(0, len(at), 512):
-            some = at[a:a + 512]
-            text = "\n".join(spans[k].decode() for k in some)
-            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
-            cut = np.flatnonzero(ids == self.line[0]) if len(self.line) == 1 else np.zeros(0, int)
-            if len(cut) == len(some) - 1:
-                found.update(zip(some, np.split(ids, cut)))
-                for k in some[1:]:
-                    found[k] = found[k][1:]
-        for k, (h, w) in enumerate(zip(hashes, spans)):
-            ids = found[k] if k in found else self.whole(w.decode())
-            n = len(self.number)
-            if n == len(self.begin):
-                self.begin, self.size = np.resize(self.begin, 2 * n), np.resize(self.size, 2 * n)
-            if self.used + len(ids) > len(self.flat):
-                self.flat = np.resize(self.flat, 2 * len(self.flat) + len(ids))
-            self.flat[self.used:self.used + len(ids)] = ids
-            self.begin[n], self.size[n] = self.used, len(ids)
-            self.used += len(ids)
-            self.number[h] = n
+    def learn(self, hashes: np.ndarray, words: list[str]) -> None:
+        """Ids of new words, given in the model's alphabet, by the library's model; ``hashes`` are ascending."""
+        tokenize = self.model.tokenize
+        found = [[t.id for t in tokenize(w)] for w in words]
+        size = np.fromiter(map(len, found), np.int64, len(found))
+        total, n = int(size.sum()), len(self.known)
+        while n + len(found) > len(self.begin):
+            self.begin, self.size = np.resize(self.begin, 2 * len(self.begin)), np.resize(self.size, 2 * len(self.size))
+        if self.used + total > len(self.flat):
+            self.flat = np.resize(self.flat, 2 * len(self.flat) + total)
+        self.flat[self.used:self.used + total] = np.fromiter(itertools.chain.from_iterable(found), np.uint32, total)
+        self.begin[n:n + len(found)] = self.used + np.cumsum(size) - size
+        self.size[n:n + len(found)] = size
+        self.used += total
+        place = np.searchsorted(self.known, hashes)
+        self.known = np.insert(self.known, place, hashes)
+        self.slot = np.insert(self.slot, place, np.arange(n, n + len(found)))
+
+    def slots(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Slot of each key, and whether it is known."""
+        if not len(self.known):
+            return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
+        at = np.minimum(np.searchsorted(self.known, keys), len(self.known) - 1)
+        return self.slot[at], self.known[at] == keys
 
     def __call__(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """ids of all texts end to end, and bounds per text."""
@@ -115,12 +128,14 @@ class WordEncoder:
         begin, end, text = begin[easy], end[easy], text[easy]
         end = np.minimum(end, off[text + 1])
         h, index, inverse = np.unique(kernel.span_hash(kernel.prefix(data), begin, end), return_index=True, return_inverse=True)
-        if len(self.number) + len(h) > WORDS_KEPT:
+        if len(self.known) + len(h) > WORDS_KEPT:
             self.clear()
-        keys = h.tolist()
-        new = [k for k, key in enumerate(keys) if key not in self.number]
-        self.learn([keys[k] for k in new], [joined[begin[index[k]]:end[index[k]]] for k in new])
-        slot = np.fromiter(map(self.number.__getitem__, keys), np.int64, len(keys))[inverse]
+        new = np.flatnonzero(~self.slots(h)[1])
+        if len(new):
+            letters = self.alphabet[data].tobytes().decode("utf-16-le")
+            first, last = begin[index[new]].tolist(), end[index[new]].tolist()
+            self.learn(h[new], [letters[a:b] for a, b in zip(first, last)])
+        slot = self.slots(h)[0][inverse]
         size = self.size[slot]
         total = int(size.sum())
         ids = self.flat[np.arange(total) - np.repeat(np.cumsum(size) - size, size) + np.repeat(self.begin[slot], size)]
