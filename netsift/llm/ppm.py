@@ -89,12 +89,12 @@ def gather(docs: DataFrame, learn: Column) -> DataFrame:
                         keys, use = keys[use > 0], use[use > 0]
                     held[kind] += _merged([(keys, use)])
                     waiting += len(held[kind][-1][0])
-            if waiting > 1_000_000:
+            if waiting > 500_000:
                 for kind in held:
                     if held[kind]:
                         held[kind] = _merged(held[kind])
                 waiting = 0
-                if sum(len(p[0]) for parts in held.values() for p in parts) > 1_500_000:
+                if sum(len(p[0]) for parts in held.values() for p in parts) > 1_000_000:
                     yield from flush()
         yield from flush()
 
@@ -157,9 +157,9 @@ class Lookup:
     def __init__(self, keys: np.ndarray, *values: np.ndarray):
         self.bits = max(4, int(np.ceil(np.log2(max(len(keys), 1) * 3))))
         self.mask = (1 << self.bits) - 1
-        self.at = np.full(self.mask + 1, -1, np.int64)
+        self.at = np.full(self.mask + 1, -1, np.int32)
         self.keys, self.values = keys, values
-        left, slot = np.arange(len(keys)), self._slot(keys)
+        left, slot = np.arange(len(keys), dtype=np.int32), self._slot(keys)
         while len(left):
             free = self.at[slot] < 0
             self.at[slot[free]] = left[free]
