@@ -37,12 +37,12 @@ def compress(seq: np.ndarray, vocabulary: int, min_count: int = 12, batch: int =
     """
     rules = [np.zeros((0, 2), np.int64)]
     following = vocabulary
-    seq = seq.astype(np.int64)
+    seq = seq.astype(np.uint16)
     for _ in range(rounds):
         room = min(batch, LIMIT - following + 1)
         if room <= 0 or len(seq) < 2:
             break
-        key = (seq[:-1] << 17) | seq[1:]
+        key = (seq[:-1].astype(np.uint32) << np.uint32(16)) | seq[1:]
         open_ = (seq[:-1] != FREE) & (seq[1:] != FREE)
         ranked = np.sort(key[open_])
         if not len(ranked):
@@ -62,22 +62,22 @@ def compress(seq: np.ndarray, vocabulary: int, min_count: int = 12, batch: int =
         run = np.arange(len(hit)) - np.flatnonzero(first)[np.cumsum(first) - 1]
         hit = hit[run % 2 == 0]
         used, name = np.unique(at[hit], return_inverse=True)
-        rules.append(np.stack([pairs[used] >> 17, pairs[used] & 0x1FFFF], axis=1))
-        seq[hit] = following + name
+        rules.append(np.stack([pairs[used] >> 16, pairs[used] & 0xFFFF], axis=1).astype(np.int64))
+        seq[hit] = (following + name).astype(np.uint16)
         seq = np.delete(seq, hit + 1)
         following += len(used)
-    return seq.astype(np.uint16), np.concatenate(rules).astype(np.uint16)
+    return seq, np.concatenate(rules).astype(np.uint16)
 
 
 def _lookup(pairs: np.ndarray, key: np.ndarray) -> np.ndarray:
     """Place of each key in ``pairs`` or -1, by a table over hashes; the rare clashes are looked up one by one."""
     bits = 20
-    h = lambda x: ((x.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)).astype(np.int64)
+    h = lambda x: (x * np.uint32(0x9E3779B1)) >> np.uint32(32 - bits)
     slot = h(pairs)
     table = np.full(1 << bits, -1, np.int32)
     table[slot] = np.arange(len(pairs))
     lost = np.flatnonzero(table[slot] != np.arange(len(pairs)))
-    found = table[h(key)].astype(np.int64)
+    found = table[h(key)]
     for p in lost:
         found[key == pairs[p]] = p
     return found
@@ -125,7 +125,7 @@ class Shard:
 
 def pack_shard(doc_id: pa.Array, ids: list[np.ndarray], vocabulary: int, end_id: int) -> bytes:
     """File content for documents given without their end ids."""
-    flat = np.full(sum(map(len, ids)) + len(ids), FREE, np.int64)
+    flat = np.full(sum(map(len, ids)) + len(ids), FREE, np.uint16)
     at = 0
     for own in ids:
         flat[at:at + len(own)] = own
