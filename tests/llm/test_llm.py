@@ -350,3 +350,18 @@ def test_pipeline_stages(spark):
     assert sizes == sorted(sizes, reverse=True) and sizes[2] < sizes[1] < table.count() and sizes[3] == sizes[2]
     packed = corpus_pipeline.STAGES[-1][1](spark, docs_now, SF)
     assert packed.select("doc_id").distinct().count() == sizes[3]
+
+
+def test_word_memory_overflow_keeps_ids(monkeypatch):
+    import pyarrow as pa
+
+    from netsift.llm import kernel, queries, tokens
+
+    monkeypatch.setattr(tokens, "WORDS_KEPT", 40)
+    texts = ["", "  a  b\n\n c 's don't WE'LL <|endoftext|> x", "日本語 text ñandú 123abc", "\t\ttabs\r\n n", "x" * 5000]
+    texts += [" ".join(f"w{k * n}z" for k in range(30)) for n in range(1, 6)]
+    encode = tokens.WordEncoder(queries.TOKENIZER())
+    for text in texts * 2:
+        for _, _, data, off, _ in kernel.parts(pa.array([text])):
+            ids, _ = encode(data, off)
+            assert ids.tolist() == encode.tokenizer.encode(text, add_special_tokens=False).ids
