@@ -10,6 +10,7 @@ from netsift.llm import kernel
 
 U = np.uint64
 GRAMS = (1, 2, 3, 4)
+PARTS = 64
 
 
 class Features:
@@ -56,13 +57,16 @@ class Features:
 def training_bags(docs: DataFrame, label: str, per_label: int, features: Features) -> list:
     """Bags of at most ``per_label`` rows of each label, chosen by a hash of doc_id over all rows.
 
-    Ids repeated in the input count once.  The result is bounded by labels x per_label rows and comes
+    The first rows of each label are found within ``PARTS`` parts of it and then among what the parts hand on,
+    so that no task sees more than PARTS x per_label rows of a common label.  Ids repeated in the input count once.  The result is bounded by labels x per_label rows and comes
     to the driver sorted by doc_id.
     """
     usable = docs.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & F.col("text").isNotNull())
-    order = Window.partitionBy(label).orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = (usable.select("doc_id", label).withColumn("__n", F.row_number().over(order))
-              .where(F.col("__n") <= per_label).select("doc_id", F.col(label).alias("__label")).distinct())
+    ids = usable.select("doc_id", label, F.xxhash64("doc_id").alias("__h"))
+    part = Window.partitionBy(label, F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(PARTS))).orderBy("__h", "doc_id")
+    order = Window.partitionBy(label).orderBy("__h", "doc_id")
+    chosen = (ids.withColumn("__n", F.row_number().over(part)).where(F.col("__n") <= per_label)
+              .withColumn("__n", F.row_number().over(order)).where(F.col("__n") <= per_label).select("doc_id", F.col(label).alias("__label")).distinct())
     # at most labels x per_label ids: small enough to send to every executor
     rows = usable.select("doc_id", "text", label).join(
         F.broadcast(chosen.withColumnRenamed("__label", label)), ["doc_id", label])
