@@ -54,22 +54,28 @@ class Features:
         return index, share
 
 
-def training_bags(docs: DataFrame, label: str, per_label: int, features: Features) -> list:
+def training_bags(docs: DataFrame, label: str, per_label: int, features: Features, labels: DataFrame | None = None) -> list:
     """Bags of at most ``per_label`` rows of each label, chosen by a hash of doc_id over all rows.
 
     The first rows of each label are found within ``PARTS`` parts of it and then among what the parts hand on,
-    so that no task sees more than PARTS x per_label rows of a common label.  Ids repeated in the input count once.  The result is bounded by labels x per_label rows and comes
-    to the driver sorted by doc_id.
+    so that no task sees more than PARTS x per_label rows of a common label.  Ids repeated in the input count once.
+    Labels come from ``docs`` or, joined by id alone, from ``labels(doc_id, label)``: texts are never shuffled.
+    The result is bounded by labels x per_label rows and comes to the driver sorted by doc_id.
     """
-    usable = docs.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & F.col("text").isNotNull())
-    ids = usable.select("doc_id", label, F.xxhash64("doc_id").alias("__h"))
+    usable = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
+    if labels is None:
+        named = usable.select("doc_id", label)
+    else:
+        named = usable.select("doc_id").join(labels.select("doc_id", label), "doc_id")
+    ids = named.where(F.col(label).isNotNull()).withColumn("__h", F.xxhash64("doc_id"))
     part = Window.partitionBy(label, F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(PARTS))).orderBy("__h", "doc_id")
     order = Window.partitionBy(label).orderBy("__h", "doc_id")
     chosen = (ids.withColumn("__n", F.row_number().over(part)).where(F.col("__n") <= per_label)
-              .withColumn("__n", F.row_number().over(order)).where(F.col("__n") <= per_label).select("doc_id", F.col(label).alias("__label")).distinct())
+              .withColumn("__n", F.row_number().over(order)).where(F.col("__n") <= per_label)
+              .select("doc_id", label).distinct())
     # at most labels x per_label ids: small enough to send to every executor
-    rows = usable.select("doc_id", "text", label).join(
-        F.broadcast(chosen.withColumnRenamed("__label", label)), ["doc_id", label])
+    on, columns = (["doc_id", label], ["doc_id", "text", label]) if labels is None else (["doc_id"], ["doc_id", "text"])
+    rows = usable.select(*columns).join(F.broadcast(chosen), on)
     bags = kernel.map_texts(rows, lambda: features.bags, "idx binary, share binary", keep=("doc_id", label))
     one = bags.groupBy("doc_id", label).agg(F.min(F.struct("idx", "share")).alias("bag"))
     got = one.select("doc_id", F.col(label).alias("label"), "bag.idx", "bag.share").collect()

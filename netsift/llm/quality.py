@@ -59,8 +59,7 @@ def train(docs: DataFrame, labels: DataFrame, per_label: int = 1500, bits: int =
     """
     voted = labels.where("quality in (0, 1) and doc_id is not null").groupBy("doc_id").agg(
         F.max("quality").cast("int").alias("__quality"))
-    own = docs.select("doc_id", "text").join(voted, "doc_id")
-    rows = hashed.training_bags(own, "__quality", per_label, hashed.Features(bits, fold=False))
+    rows = hashed.training_bags(docs.select("doc_id", "text"), "__quality", per_label, hashed.Features(bits, fold=False), voted)
     y = np.array([r["label"] for r in rows], float)
     if not rows or y.min() == y.max():
         return Model(np.zeros(1 << bits), 0.0, 1.0, 0.0, bits, False)
