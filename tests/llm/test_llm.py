@@ -365,3 +365,18 @@ def test_word_memory_overflow_keeps_ids(monkeypatch):
         for _, _, data, off, _ in kernel.parts(pa.array([text])):
             ids, _ = encode(data, off)
             assert ids.tolist() == encode.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_training_rows_of_parts_are_the_first_of_each_label(spark):
+    rows = [(k, f"text {k}", "a" if k % 3 else "b") for k in range(400)] + [(7, "text 7", "a"), (None, "x", "a"), (900, None, "a")]
+    own = spark.createDataFrame(rows, "doc_id long, text string, label string")
+    sound = own.where("doc_id is not null and text is not null").selectExpr("doc_id", "label", "xxhash64(doc_id) h").collect()
+    expected = []
+    for label in "ab":
+        first = sorted((r["h"], r["doc_id"]) for r in sound if r["label"] == label)[:50]
+        expected += {(d, label) for _, d in first}
+    features = hashed.Features(8)
+    inside = hashed.training_bags(own, "label", 50, features)
+    joined = hashed.training_bags(own.select("doc_id", "text"), "label", 50, features, own.select("doc_id", "label").distinct())
+    assert [(r["doc_id"], r["label"]) for r in inside] == sorted(expected)
+    assert [(r["doc_id"], r["label"]) for r in joined] == sorted(expected)
