@@ -84,34 +84,42 @@ def matches(docs: DataFrame) -> DataFrame:
 def contextual(found: DataFrame, rounds: int = 3, confident: float = 0.9, support: int = 3, min_digits: int = 6) -> DataFrame:
     """rid, kind, start, end of further spans, induced from the base spans in ``found``.
 
-    A pattern needs ``support`` different seed values of a kind before it says anything.
+    A pattern is the word before a value, or the word behind it on the same line.  It needs ``support`` different
+    values of a kind before it says anything: seeds, or values that the last round left with a score of ``confident``.
+    A place of a value counts as its better side, and the value's score is the mean over its places, so one
+    reliable cue is enough whatever stands on the other side.
     """
     base = found.where("valid and kind <> 'token'")
     token = found.where((F.col("kind") == "token") & (F.length(F.regexp_replace("value", "[^0-9]", "")) >= min_digits))
     taken = base.select(F.col("rid").alias("r"), F.col("start").alias("s"), F.col("end").alias("e"))
     loose = token.join(taken, (F.col("rid") == F.col("r")) & (F.col("start") < F.col("e")) & (F.col("s") < F.col("end")), "left_anti")
 
-    word = F.lower(F.regexp_extract("left", r"(\S{1,40})\s*$", 1)), F.lower(F.regexp_extract("right", r"^\s*(\S{1,40})", 1))
-    sides = F.explode(F.array(F.concat(F.lit("l:"), word[0]), F.concat(F.lit("r:"), word[1])))
+    word = (F.lower(F.regexp_extract("left", r"(\S{1,40})\s*$", 1)),
+            F.lower(F.regexp_extract("right", r"^[^\S\n\r]*(\S{1,40})", 1)))
+    sides = F.filter(F.array(F.concat(F.lit("l:"), word[0]), F.concat(F.lit("r:"), word[1])), lambda p: F.length(p) > 2)
     both = base.select("rid", "kind", "start", "end", "value", "left", "right").unionByName(
         loose.select("rid", F.lit(None).cast("string").alias("kind"), "start", "end", "value", "left", "right"))
-    edges = written(both.select("value", "kind", sides.alias("pattern")).where("length(pattern) > 2")
-                    .groupBy("value", "kind", "pattern").agg(F.count("*").alias("n")), "edges")
-    seeds = edges.where("kind is not null")
-    able = seeds.groupBy("pattern", "kind").agg(F.count_distinct("value").alias("values")).where(F.col("values") >= support)
+    places = written(both.select("value", "kind", sides.alias("sides")).where(F.size("sides") > 0)
+                     .groupBy("value", "kind", "sides").agg(F.count("*").alias("n")), "places")
+    edges = places.select("value", "kind", F.explode("sides").alias("pattern"), "n").groupBy("value", "kind", "pattern").agg(
+        F.sum("n").alias("n"))
+    edges = written(edges, "edges")
+    seeds, unseen = edges.where("kind is not null"), edges.where("kind is null").drop("kind")
+    loose_places = places.where("kind is null").drop("kind")
+    weight = loose_places.groupBy("value").agg(F.sum("n").alias("places"))
     total = edges.groupBy("pattern").agg(F.sum("n").alias("all"))
-    own = seeds.groupBy("pattern", "kind").agg(F.sum("n").alias("good"))
-    unseen = edges.where("kind is null").drop("kind")
+    own = seeds.select("pattern", "kind", "value", F.col("n").cast("double").alias("good"), F.lit(True).alias("sure"))
     score = None
     for k in range(rounds):
-        good = own if score is None else own.unionByName(
-            unseen.join(score, "value").groupBy("pattern", "kind").agg(F.sum(F.col("n") * F.col("score")).alias("good"))
-        ).groupBy("pattern", "kind").agg(F.sum("good").alias("good"))
-        patterns = able.join(good, ["pattern", "kind"]).join(total, "pattern").select(
-            "pattern", "kind", (F.col("good") / (F.col("all") + 1)).alias("trust"))
-        weight = unseen.groupBy("value").agg(F.sum("n").alias("sides"))
-        score = written(unseen.join(patterns, "pattern").groupBy("value", "kind").agg(F.sum(F.col("n") * F.col("trust")).alias("t"))
-                        .join(weight, "value").select("value", "kind", (F.col("t") / F.col("sides")).alias("score")), "score")
+        good = own if score is None else own.unionByName(unseen.join(score, "value").select(
+            "pattern", "kind", "value", (F.col("n") * F.col("score")).alias("good"), (F.col("score") >= confident).alias("sure")))
+        able = good.groupBy("pattern", "kind").agg(
+            F.sum("good").alias("good"), F.count_distinct(F.when(F.col("sure"), F.col("value"))).alias("values")).where(F.col("values") >= support)
+        patterns = able.join(total, "pattern").select("pattern", "kind", (F.col("good") / (F.col("all") + 1)).alias("trust"))
+        told = (loose_places.withColumn("pattern", F.explode("sides")).join(patterns, "pattern")
+                .groupBy("value", "sides", "n", "kind").agg(F.max("trust").alias("trust")))
+        score = written(told.groupBy("value", "kind").agg(F.sum(F.col("n") * F.col("trust")).alias("t"))
+                        .join(weight, "value").select("value", "kind", (F.col("t") / F.col("places")).alias("score")), "score")
     best = score.groupBy("value").agg(F.max(F.struct("score", "kind")).alias("b")).where(F.col("b.score") >= confident)
     return loose.select("rid", "key", "doc_id", "start", "end", "value").join(
         best.select("value", "b.kind"), "value").select("rid", "key", "doc_id", "kind", "start", "end")

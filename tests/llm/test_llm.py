@@ -380,3 +380,23 @@ def test_training_rows_of_parts_are_the_first_of_each_label(spark):
     joined = hashed.training_bags(own.select("doc_id", "text"), "label", 50, features, own.select("doc_id", "label").distinct())
     assert [(r["doc_id"], r["label"]) for r in inside] == sorted(expected)
     assert [(r["doc_id"], r["label"]) for r in joined] == sorted(expected)
+
+
+def test_one_sided_cues_find_identifiers(spark):
+    """A cue before, or behind, a value is enough; what stands on the other side, or on the next line, does not count."""
+    words = [f"word{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(80)]
+    seeds = [f"{words[k]} phone: +1 (377) 555-01{k:02d} {words[k]} more" for k in range(40)]
+    seeds += [f"{words[k]} u{k}@site.org wrote this" for k in range(40)]
+    hidden = ["x phone: 5551234567 tomorrow", "y phone: 5551234568\nNext", "z phone: 5551234569", "then 5551234570\nphone: 5551234571 or",
+              "when user(at)777777 wrote this", "user(at)888888\nwrote this", "the phone: 5551234572 a\nno phone 5551234572 b"]
+    rows = {r.doc_id: r.spans for r in pii.personal_data(docs(spark, seeds + hidden)).collect()}
+    assert [rows[80 + k] for k in range(len(hidden))] == [
+        "phone:9:19", "phone:9:19", "phone:9:19", "phone:23:33", "email:5:19", "", ""]
+
+
+def test_found_identifiers_make_further_cues(spark):
+    """No seed stands behind ``mobile``: only values that were found behind ``phone:`` vouch for it."""
+    seeds = ["".join(f"a phone: +1 (377) 555-01{k % 90 + 10} b\n" for k in range(3000)) for _ in range(4)]
+    known = [f"x phone: 55512345{k:02d} y\n" * 20 + f"mobile 55512345{k:02d} y" for k in range(30)]
+    rows = {r.doc_id: r.spans for r in pii.personal_data(docs(spark, [*seeds, *known, "my mobile 5559876543 z", "q order 999999999 r"])).collect()}
+    assert rows[4].count("phone:") == 21 and rows[34] == "phone:10:20" and rows[35] == ""
