@@ -183,22 +183,24 @@ def _among_partners(compared: DataFrame, groups: DataFrame, full: DataFrame, per
     """Links u, v between classes that met the same pivot and lie in different groups so far.
 
     With d the Jaccard distance, d(x, y) <= 1 - percent/100 needs |d(x, pivot) - d(y, pivot)| within that bound.
-    So a class that is not in the pivot's group is compared with all the other such classes, and with the
-    pivot's group only if its own distance to the pivot is below twice the bound.
+    So a class that is not in the pivot's group is compared with all the other such classes and with those of
+    the pivot's group that do not link to the pivot itself; with those that do, only if some such class is nearer
+    to the pivot than twice the bound.
     """
     known = groups.select("id", "component")
     rows = (compared.join(known, "id", "left").withColumn("component", F.coalesce("component", "id"))
             .join(known.select(F.col("id").alias("pivot"), F.col("component").alias("home")), "pivot", "left")
             .withColumn("home", F.coalesce("home", "pivot"))
             .withColumn("away", F.col("component") != F.col("home"))
+            .withColumn("chained", ~F.col("away") & ~F.col("linked"))
             .withColumn("near", F.col("shared") * 100 >= F.col("union") * (2 * percent - 100)))
     load = F.sum(F.when(F.col("away"), F.col("size")))
     stats = rows.groupBy("pivot").agg(
         F.sum(F.col("away").cast("long")).alias("n_away"),
-        F.max(F.col("away") & F.col("near")).alias("reaches"),
+        F.max(F.col("away") & F.col("near")).alias("reaches"), F.max("chained").alias("chains"),
         F.ceil(F.sum("size") / TILE).alias("tiles"), F.ceil(F.coalesce(load, F.lit(0)) / TILE).alias("away_tiles"),
-    ).where("n_away > 1 or reaches")
-    rows = rows.join(stats, "pivot").where(F.col("away") | F.col("reaches")).join(full, "id")
+    ).where("n_away > 1 or reaches or n_away > 0 and chains")
+    rows = rows.join(stats, "pivot").where(F.col("away") | F.col("chained") | F.col("reaches")).join(full, "id")
     native = rows.select("pivot", F.pmod(F.xxhash64("id"), "tiles").alias("t"),
                          F.explode(F.sequence(F.lit(0).cast("long"), F.col("away_tiles") - 1)).alias("a"),
                          "id", "component", "shingles", F.lit(False).alias("probe"))

@@ -400,3 +400,14 @@ def test_found_identifiers_make_further_cues(spark):
     known = [f"x phone: 55512345{k:02d} y\n" * 20 + f"mobile 55512345{k:02d} y" for k in range(30)]
     rows = {r.doc_id: r.spans for r in pii.personal_data(docs(spark, [*seeds, *known, "my mobile 5559876543 z", "q order 999999999 r"])).collect()}
     assert rows[4].count("phone:") == 21 and rows[34] == "phone:10:20" and rows[35] == ""
+
+
+def test_members_by_a_chain_are_compared_with_far_classes(spark):
+    """x is in the pivot's group through c; y is like x and unlike the pivot."""
+    p, c, x, y = (list(range(k, k + 100)) for k in (0, 10, 20, 30))
+    full = spark.createDataFrame([(1, p), (2, c), (3, x), (4, y)], "id long, shingles array<long>")
+    rows = [(1, k, 100, len({*p} & {*v}), len({*p} | {*v})) for k, v in ((2, c), (3, x), (4, y))]
+    compared = spark.createDataFrame(rows, "pivot long, id long, size int, shared int, union int").withColumn(
+        "linked", F.expr("shared * 100 >= union * 80"))
+    groups = spark.createDataFrame([(1, 1), (2, 1), (3, 1)], "id long, component long")
+    assert [tuple(r) for r in minhash._among_partners(compared, groups, full, 80).collect()] == [(4, 3)]
