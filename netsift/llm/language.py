@@ -4,7 +4,8 @@ A text is the mean of the embeddings of its hashed words and byte n-grams; a sof
 gives the language.  Training is stochastic gradient descent in numpy on a bounded, documented sample of
 labelled rows (``per_lang`` rows of each language).  A temperature fitted on rows kept out of training
 calibrates the probabilities, and the rejection threshold is a low quantile of the calibrated top
-probability of those rows, so that it costs true texts almost nothing.
+probability of those rows, but at most 0.5, so that it costs true texts almost nothing.  With well-separated
+languages the cap of 0.5 decides, and most texts in other languages or of junk letters are accepted.
 """
 
 from __future__ import annotations
