@@ -411,3 +411,21 @@ def test_members_by_a_chain_are_compared_with_far_classes(spark):
         "linked", F.expr("shared * 100 >= union * 80"))
     groups = spark.createDataFrame([(1, 1), (2, 1), (3, 1)], "id long, component long")
     assert [tuple(r) for r in minhash._among_partners(compared, groups, full, 80).collect()] == [(4, 3)]
+
+
+def test_grammar_folds_long_repeats():
+    import pyarrow as pa
+
+    one = np.random.default_rng(5).permutation(4096).astype(np.uint32)
+    shard = repair.read_shard(repair.pack_shard(pa.array(range(40)), [one] * 40, 50_257, 2))
+    assert len(shard.symbols) == 40 and all(shard.ids(k)[:-1].tolist() == one.tolist() for k in (0, 39))
+    rare = repair.read_shard(repair.pack_shard(pa.array(range(5)), [one[:2]] * 5, 50_257, 2))
+    assert len(rare.rules) == 1
+
+
+@pytest.mark.parametrize("vocabulary,number", [(70_000, 65_535), (70_000, 66_000), (100, 100)])
+def test_grammar_refuses_ids_that_do_not_fit(vocabulary, number):
+    import pyarrow as pa
+
+    with pytest.raises(ValueError):
+        repair.pack_shard(pa.array([1]), [np.array([1, number], np.uint32)], vocabulary, 2)
