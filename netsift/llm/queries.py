@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from netsift.llm import language, minhash, packing, pieces, pii, ppm, quality, repair, sharding, vectors, warc
+from netsift.llm import language, minhash, packing, pieces, pii, ppm, prefixes, quality, repair, sharding, vectors, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -98,3 +98,33 @@ def op10_minhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op12_shard_shuffle(spark: SparkSession, sf: str) -> DataFrame:
     return sharding.assignments(table(spark, sf, "documents"), shards=24)
+
+
+#: crc32 of a number's decimal form; DuckDB has no such function
+_CRC = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({0}::VARCHAR, ''), lambda s: ord(s)::BIGINT)),
+  lambda acc, b: list_reduce(list_prepend(xor(acc, b), range(8)), lambda a, i: xor(a >> 1, 3988292384 * (a & 1)))), 4294967295)"""
+
+ORACLES["op13_conversation_trie"] = f"""
+WITH own AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS n,
+    coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (SELECT conv_id, {_CRC.format("conv_id")} % 6 AS h, conv_id - conv_id % 100 AS base FROM (SELECT DISTINCT conv_id FROM own)),
+turns AS (SELECT c.conv_id, 0 AS part, o.n, o.role, o.text FROM convs c JOIN own o ON o.conv_id = c.base AND o.n < c.h
+  UNION ALL SELECT c.conv_id, 1, o.n, o.role, o.text FROM convs c JOIN own o ON o.conv_id = c.conv_id AND o.n >= c.h),
+seqs AS (SELECT c.conv_id, coalesce(list({{'r': role, 't': text}} ORDER BY part, n) FILTER (WHERE n IS NOT NULL), []) AS s
+  FROM convs c LEFT JOIN turns USING (conv_id) GROUP BY c.conv_id),
+steps AS (SELECT conv_id, len(s) AS whole, s, unnest(range(len(s) + 1)) AS depth FROM seqs),
+nodes AS (SELECT depth, s[1:depth] AS k, min(conv_id) AS conv_id, count(*) AS n_convs,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE whole = depth), '')) AS ends_sha256
+  FROM steps GROUP BY ALL),
+kids AS (SELECT k[1:depth - 1] AS k, depth - 1 AS depth, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY ALL),
+counted AS (SELECT nodes.*, coalesce(kids.n, 0) AS n_children FROM nodes LEFT JOIN kids USING (depth, k)),
+below AS (SELECT k, (n_children = 0)::BIGINT AS leaf, CASE WHEN depth > 0 THEN (n_convs - 1) * length(k[depth].t) ELSE 0 END AS gain,
+    unnest(range(depth + 1)) AS top FROM counted),
+sums AS (SELECT top AS depth, k[1:top] AS k, sum(leaf)::BIGINT AS n_leaves, sum(gain)::BIGINT AS saved_tokens FROM below GROUP BY ALL)
+SELECT c.conv_id, c.depth, p.conv_id AS parent_conv_id, c.n_convs, c.n_children, n_leaves, saved_tokens, c.ends_sha256
+FROM counted c JOIN sums USING (depth, k) LEFT JOIN nodes p ON c.depth > 0 AND p.depth = c.depth - 1 AND p.k = c.k[1:c.depth - 1]"""
+
+
+@query
+def op13_conversation_trie(spark: SparkSession, sf: str) -> DataFrame:
+    return prefixes.trie(table(spark, sf, "conversations"))
