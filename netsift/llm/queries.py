@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from netsift.llm import language, minhash, packing, pieces, pii, ppm, prefixes, quality, repair, sharding, vectors, warc
+from netsift.llm import language, minhash, packing, pieces, pii, ppm, prefixes, quality, repair, sharding, spelling, vectors, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -95,6 +95,11 @@ def op10_minhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf, "documents"), percent=80, width=2)
 
 
+@query
+def op11_spelling_variants(spark: SparkSession, sf: str) -> DataFrame:
+    return spelling.variants(table(spark, sf, "documents"))
+
+
 @query
 def op12_shard_shuffle(spark: SparkSession, sf: str) -> DataFrame:
     return sharding.assignments(table(spark, sf, "documents"), shards=24)
