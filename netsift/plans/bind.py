@@ -255,12 +255,12 @@ def rdp(spark: SparkSession, sf: str) -> DataFrame:
 VIEWS["notices"] = """
   SELECT event_id, t, src, CASE event_type WHEN 'click' THEN 'C2_Beaconing_Detected'
          WHEN 'view' THEN 'C2_JA3_Suspicious' WHEN 'error' THEN 'DNS_High_NXDOMAIN_Ratio' ELSE 'Other_Notice' END AS note
-  FROM ev WHERE event_type IN ('click', 'view', 'error') OR k < 20"""
+  FROM ev"""
 NEEDS["notices"] = ["ev"]
 
 
 def notices(spark: SparkSession, sf: str) -> DataFrame:
-    return events(spark, sf).where("event_type in ('click', 'view', 'error') or k < 20").select(
+    return events(spark, sf).select(
         F.col("event_id").alias("seq"), "ts", "src",
         _by_type("C2_Beaconing_Detected", "C2_JA3_Suspicious", "DNS_High_NXDOMAIN_Ratio", "Other_Notice",
                  "Other_Notice").alias("note"),

@@ -503,13 +503,18 @@ def report_flagged_per_source(spark, sf):
 @query("host_timeline", """
 SELECT t AS ts_us, id_orig_h AS host, 'conn' AS source, id_resp_h || ':' || id_resp_p AS text FROM conn
 UNION ALL SELECT t, id_orig_h, 'dns', query FROM dns
-UNION ALL SELECT t, src_ip, 'alert', signature FROM alerts WHERE event_type = 'alert'""", ["conn", "dns", "alerts"])
+UNION ALL SELECT t, id_orig_h, 'http', method || ' ' || host || uri FROM http
+UNION ALL SELECT t, id_orig_h, 'ssl', coalesce(server_name, id_resp_h) FROM ssl
+UNION ALL SELECT t, src_ip, 'alert', signature FROM alerts WHERE event_type = 'alert'""", ["conn", "dns", "http", "ssl", "alerts"])
 def host_timeline(spark, sf):
     conn, dns = bind.conn(spark, sf), bind.dns(spark, sf)
+    http, ssl = bind.http(spark, sf), bind.ssl(spark, sf)
     alerts = bind.alert_events(spark, sf).where("event_type = 'alert'")
     return plain(reports.timeline([
         reports.timeline_part(conn, "id_orig_h", "conn", F.concat_ws(":", "id_resp_h", F.col("id_resp_p").cast("string"))),
         reports.timeline_part(dns, "id_orig_h", "dns", F.col("query")),
+        reports.timeline_part(http, "id_orig_h", "http", F.concat("method", F.lit(" "), "host", "uri")),
+        reports.timeline_part(ssl, "id_orig_h", "ssl", F.coalesce("server_name", "id_resp_h")),
         reports.timeline_part(alerts, "src_ip", "alert", F.col("alert.signature"), "timestamp")]))
 
 

@@ -146,10 +146,11 @@ def cert_names(spark, sf):
 WITH c AS (SELECT doc_id, unnest(string_split(text, '')) AS ch FROM documents),
 n AS (SELECT doc_id, ch, count(*) AS n FROM c GROUP BY ALL),
 t AS (SELECT doc_id, sum(n) AS total FROM n GROUP BY doc_id)
-SELECT doc_id, round(-sum(n / total::DOUBLE * log2(n / total::DOUBLE)), 6) AS entropy FROM n JOIN t USING (doc_id) GROUP BY doc_id""")
+SELECT doc_id, round(CASE WHEN text IS NOT NULL THEN coalesce(e, 0) END, 6) AS entropy FROM documents LEFT JOIN
+  (SELECT doc_id, -sum(n / total::DOUBLE * log2(n / total::DOUBLE)) AS e FROM n JOIN t USING (doc_id) GROUP BY doc_id) USING (doc_id)""")
 def document_entropy(spark, sf):
     docs = bind.table(spark, sf, "documents")
-    return plain(docs.where("length(text) > 0").select("doc_id", text.entropy("text").alias("entropy")))
+    return plain(docs.select("doc_id", text.entropy("text").alias("entropy")))
 
 
 # --- reading text into types -------------------------------------------------
