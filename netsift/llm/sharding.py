@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 from netsift.llm.scratch import folder
 
 BUCKET_BYTES = 32 << 20
+FIRSTS_SENT = 1_000_000     # rows of 24 bytes
 
 
 def record_size(text: str = "text") -> Column:
@@ -89,6 +90,8 @@ def write(rows: DataFrame, path: str, shards: int, seed: int = 0, bucket_bytes:
     counts = mixed.groupBy("__bucket").agg(F.count("*").alias("__n"))
     before = F.sum("__n").over(Window.orderBy("__bucket")) - F.col("__n")
     firsts = counts.select("__bucket", before.alias("__first"), F.sum("__n").over(Window.partitionBy()).alias("__all"))
+    if buckets <= FIRSTS_SENT:      # one row a bucket; more of them are joined
+        firsts = F.broadcast(firsts)
     place = F.col("__first") + F.col("__pos")
     shard = F.expr(f"((__first + __pos + 1) * {shards} - 1) div __all").cast("int")
     dealt = (mixed.join(firsts, "__bucket").withColumn("shard", shard)
