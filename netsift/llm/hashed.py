@@ -33,6 +33,10 @@ class Features:
 
     def means(self, tables: list[np.ndarray], data: np.ndarray, off: np.ndarray) -> np.ndarray:
         """Per text, the mean of each table over the buckets of all its features."""
+        return self.means_and_counts(tables, data, off)[0]
+
+    def means_and_counts(self, tables: list[np.ndarray], data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``means`` and the number of features of each text."""
         sums = np.zeros((len(off) - 1, len(tables)))
         count = np.zeros(len(off) - 1)
         for bucket, bounds, width in self(data, off):
@@ -40,7 +44,7 @@ class Features:
             count += size
             for k, table in enumerate(tables):
                 sums[:, k] += kernel.per_text(table[bucket], bounds, width - 1)
-        return sums / np.maximum(count, 1)[:, None]
+        return sums / np.maximum(count, 1)[:, None], count
 
     def bags(self, data: np.ndarray, off: np.ndarray, null=None) -> tuple[list[bytes], list[bytes]]:
         """Per text: bucket numbers (int32) and their shares (float32), as bytes."""

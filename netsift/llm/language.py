@@ -3,9 +3,11 @@
 A text is the mean of the embeddings of its hashed words and byte n-grams; a softmax layer on that mean
 gives the language.  Training is stochastic gradient descent in numpy on a bounded, documented sample of
 labelled rows (``per_lang`` rows of each language).  A temperature fitted on rows kept out of training
-calibrates the probabilities, and the rejection threshold is a low quantile of the calibrated top
-probability of those rows, but at most 0.5, so that it costs true texts almost nothing.  With well-separated
-languages the cap of 0.5 decides, and most texts in other languages or of junk letters are accepted.
+calibrates the probabilities.
+
+Softmax only compares the languages it knows, so rejection looks at what it cannot see: the mean log
+likelihood of a text's features under the features of the language it was given, as a distance from what texts of that
+language and length have.  The largest distance that loses a share ``lost`` of the rows kept out of training is the threshold.
 """
 
 from __future__ import annotations
@@ -27,8 +29,10 @@ class Model:
     table: np.ndarray  # buckets x languages: embedding times output layer
     bias: np.ndarray
     temperature: float
-    threshold: float
+    threshold: float     # largest accepted distance
     bits: int
+    likelihood: np.ndarray   # buckets x languages: log share of a bucket among the features of a language
+    usual: np.ndarray        # per language: mean log likelihood, variance between texts, variance within a text per feature
 
 
 def softmax(z: np.ndarray) -> np.ndarray:
@@ -65,16 +69,36 @@ def _descend(idx, share, off, y, n_langs, bits, dim, epochs, rate, seed):
     return emb, out, bias
 
 
+def _likelihood(idx, share, off, y, n_langs: int, bits: int) -> np.ndarray:
+    """Log share of every bucket in each language; every bucket gets a hundredth of one text's share beside the rest."""
+    out = np.empty((1 << bits, n_langs))
+    size = np.diff(off)
+    for k in range(n_langs):
+        mine = np.repeat(y == k, size)
+        mass = np.bincount(idx[mine], share[mine], 1 << bits) + 0.01 / (1 << bits)
+        out[:, k] = np.log(mass / mass.sum())
+    return out
+
+
+def distance(mean: np.ndarray, features: np.ndarray, lang: np.ndarray, usual: np.ndarray) -> np.ndarray:
+    """How far below its language's usual likelihood a text lies, in standard deviations for its length."""
+    spread = np.sqrt(usual[lang, 1] + usual[lang, 2] / np.maximum(features, 1))
+    return (usual[lang, 0] - mean) / np.maximum(spread, 1e-9)
+
+
 def train(docs: DataFrame, lang: str = "lang", per_lang: int = 400, bits: int = 13, dim: int = 12, epochs: int = 6,
-          rate: float = 0.3, lost: float = 0.001, seed: int = 7) -> Model:
+          rate: float = 0.3, lost: float = 0.001, margin: float = 1.5, seed: int = 7) -> Model:
     """Fit on at most ``per_lang`` rows of each non-null language (a bounded sample); null ids and texts are left out.
 
+    The threshold is ``margin`` times the distance that loses a share ``lost`` of the rows kept out of training, a fifth of all.
+
     With no usable row the model knows no language and answers ``und`` everywhere.
     """
     rows = hashed.training_bags(docs, lang, per_lang, hashed.Features(bits))
     langs = tuple(sorted({r["label"] for r in rows}))
     if not langs:
-        return Model((), np.zeros((1 << bits, 0)), np.zeros(0), 1.0, 0.0, bits)
+        none = np.zeros((1 << bits, 0))
+        return Model((), none, np.zeros(0), 1.0, 0.0, bits, none, np.zeros((0, 3)))
     idx, share, off = hashed.ragged(rows)
     y = np.array([langs.index(r["label"]) for r in rows])
     order = np.random.default_rng(seed).permutation(len(rows))
@@ -89,55 +113,78 @@ def train(docs: DataFrame, lang: str = "lang", per_lang: int = 400, bits: int =
     grid = np.geomspace(0.2, 5, 60)
     loss = [-np.log(softmax(z / t)[np.arange(len(check)), y[check]] + 1e-12).mean() for t in grid]
     t = float(grid[int(np.argmin(loss))])
-    top = softmax(z / t).max(axis=1)
-    threshold = float(min(np.quantile(top, lost), 0.5 if len(langs) > 1 else 0.0))
-    return Model(langs, table, bias, t, threshold, bits)
+    # likelihoods of the rows kept out, against those of the language the model gives them
+    likelihood = _likelihood(fi, fs, foff, y[fit], len(langs), bits)
+    given = z.argmax(axis=1)
+    mean = np.bincount(r, likelihood[i, given[r]] * s, len(check))
+    square = np.bincount(r, likelihood[i, given[r]] ** 2 * s, len(check))
+    features = 1 / np.minimum.reduceat(s, np.flatnonzero(np.diff(r, prepend=-1))) if len(s) else np.ones(len(check))
+    usual = np.zeros((len(langs), 3))
+    for k in range(len(langs)):
+        mine = given == k if (given == k).any() else np.ones(len(check), bool)
+        usual[k] = mean[mine].mean(), 0, (square - mean ** 2)[mine].mean()
+    usual[:, 1] = ((mean - usual[given, 0]) ** 2).mean()      # of all languages: a few odd texts must not count for one alone
+    threshold = float(np.quantile(distance(mean, features, given, usual), 1 - lost)) * margin
+    return Model(langs, table, bias, t, threshold, bits, likelihood, usual)
+
+
+def _judge(model: Model):
+    """A function (bytes, offsets) -> best language, its probability, accepted, made once per task."""
+    n = len(model.langs)
+    tables = [np.ascontiguousarray(t[:, k]) for t in (model.table, model.likelihood) for k in range(n)]
+    features = hashed.Features(model.bits)
+
+    def judge(data, off):
+        means, count = features.means_and_counts(tables, data, off)
+        p = softmax((means[:, :n] + model.bias) / model.temperature)
+        best = p.argmax(axis=1)
+        rows = np.arange(len(best))
+        far = distance(means[rows, n + best], count, best, model.usual)
+        return best, p[rows, best], far <= model.threshold
+
+    return judge
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, lang_pred, score, accepted: one row per input row, whole texts.
 
     Null text, or text without a letter: ``und``, score 0, not accepted.  ``accepted`` is false where the
-    calibrated score is below the model's threshold.
+    text lies farther from the language than the model's threshold; of equal probabilities the first language in
+    alphabetical order wins.  Repeated and null ids stay rows of their own; other columns are ignored.
     """
-    bits, temperature, threshold, langs = model.bits, model.temperature, model.threshold, model.langs
-    tables, bias = [np.ascontiguousarray(model.table[:, k]) for k in range(len(langs))], model.bias
+    known_langs = model.langs
 
     def make():
         import pyarrow as pa
 
-        features = hashed.Features(bits)
-        names = pa.array([*langs, UNKNOWN])
+        names = pa.array([*known_langs, UNKNOWN])
+        judge = _judge(model)
 
         def score(data, off, null):
             n = len(off) - 1
-            if not langs:
-                return names.take(pa.array(np.zeros(n, np.int64))), np.zeros(n)
-            p = softmax((features.means(tables, data, off) + bias) / temperature)
-            best = p.argmax(axis=1)
-            return names.take(pa.array(best)), p[np.arange(n), best]
+            if not known_langs:
+                return names.take(pa.array(np.zeros(n, np.int64))), np.zeros(n), np.zeros(n, bool)
+            best, p, near = judge(data, off)
+            return names.take(pa.array(best)), p, near
 
         return score
 
-    letter = docs.withColumn("__letter", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
-    got = kernel.map_texts(letter, make, "lang_pred string, score double", keep=("doc_id", "__letter"))
-    known = F.col("__letter") & F.lit(bool(langs))
+    letter = docs.select("doc_id", "text", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("__letter"))
+    got = kernel.map_texts(letter, make, "lang_pred string, score double, near boolean", keep=("doc_id", "__letter"))
+    known = F.col("__letter") & F.lit(bool(known_langs))
     return got.select(
         "doc_id", F.when(known, F.col("lang_pred")).otherwise(UNKNOWN).alias("lang_pred"),
-        F.when(known, F.col("score")).otherwise(0.0).alias("score"),
-        (known & (F.col("score") >= threshold)).alias("accepted"))
+        F.when(known, F.col("score")).otherwise(0.0).alias("score"), (known & F.col("near")).alias("accepted"))
 
 
 def accepted_rows(docs: DataFrame, model: Model) -> DataFrame:
-    """The rows of ``docs``, all columns, that ``identify`` accepts."""
-    bits, temperature, langs, bias = model.bits, model.temperature, model.langs, model.bias
-    tables = [np.ascontiguousarray(model.table[:, k]) for k in range(len(langs))]
+    """The rows of ``docs``, all columns, that ``identify`` accepts; repeated rows stay, an empty table stays empty."""
+    if not model.langs:
+        return docs.where(F.lit(False))
 
     def make():
-        features = hashed.Features(bits)
-        return lambda data, off, null: softmax((features.means(tables, data, off) + bias) / temperature).max(axis=1)
+        judge = _judge(model)
+        return lambda data, off, null: judge(data, off)[2]
 
     letter = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
-    if not langs:
-        return docs.where(F.lit(False))
-    return docs.where(letter & (kernel.text_column(make, "double")(F.col("text")) >= model.threshold))
+    return docs.where(letter & kernel.text_column(make, "boolean")(F.col("text")))

@@ -27,11 +27,12 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 TOKEN = r"(?<!\S)[^\s0-9]*+[0-9]\S*+"
-CONTEXT = 64
+#: The whole word before a value (on any line) and the one behind it on the same line; no run is looked at twice.
+BEFORE, BEHIND = r"(?<!\S)(\S++)\s*+$", r"^[^\S\n\r]*+(\S++)"
 
 
 def _found(text: Column, kind: str, pattern: str, worth: Column) -> Column:
-    """Array of (kind, i, gap, left, value, right): every match with what stands before and behind it."""
+    """Array of (kind, i, gap, left, value, right): every match with the words before and behind it."""
     t = F.when(worth, text)
     gaps, values = F.split(t, pattern, -1), F.regexp_extract_all(t, F.lit(pattern), F.lit(0))
     rows = F.arrays_zip(gaps.alias("g"), F.concat(values, F.array(F.lit(None).cast("string"))).alias("v"),
@@ -39,8 +40,8 @@ def _found(text: Column, kind: str, pattern: str, worth: Column) -> Column:
     kept = F.filter(rows, lambda x: x["v"].isNotNull())
     return F.coalesce(F.transform(kept, lambda x, i: F.struct(
         F.lit(kind).alias("kind"), i.alias("i"), F.length(x["g"]).cast("long").alias("gap"),
-        F.right(x["g"], F.lit(CONTEXT)).alias("left"), x["v"].alias("value"),
-        F.left(x["n"], F.lit(CONTEXT)).alias("right"))), F.array())
+        F.regexp_extract(x["g"], BEFORE, 1).alias("left"), x["v"].alias("value"),
+        F.regexp_extract(x["n"], BEHIND, 1).alias("right"))), F.array())
 
 
 def matches(docs: DataFrame) -> DataFrame:
@@ -94,8 +95,7 @@ def contextual(found: DataFrame, rounds: int = 3, confident: float = 0.9, suppor
     taken = base.select(F.col("rid").alias("r"), F.col("start").alias("s"), F.col("end").alias("e"))
     loose = token.join(taken, (F.col("rid") == F.col("r")) & (F.col("start") < F.col("e")) & (F.col("s") < F.col("end")), "left_anti")
 
-    word = (F.lower(F.regexp_extract("left", r"(\S{1,40})\s*$", 1)),
-            F.lower(F.regexp_extract("right", r"^[^\S\n\r]*(\S{1,40})", 1)))
+    word = (F.lower("left"), F.lower("right"))
     sides = F.filter(F.array(F.concat(F.lit("l:"), word[0]), F.concat(F.lit("r:"), word[1])), lambda p: F.length(p) > 2)
     both = base.select("rid", "kind", "start", "end", "value", "left", "right").unionByName(
         loose.select("rid", F.lit(None).cast("string").alias("kind"), "start", "end", "value", "left", "right"))

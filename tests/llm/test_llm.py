@@ -71,6 +71,25 @@ def test_language_learns_and_rejects(spark, prose, odd):
     for k in (0, 1, 2, 10):
         assert (strange[k].lang_pred, strange[k].score, strange[k].accepted) == ("und", 0.0, False)
     assert language.accepted_rows(docs(spark, odd), model).columns == ["doc_id", "text", "score", "kind", "id"]
+    assert language.accepted_rows(docs(spark, []), model).count() == 0
+    twice = language.identify(docs(spark, [prose[3]["text"]] * 2).withColumn("doc_id", F.lit(None).cast("long")), model).collect()
+    assert len(twice) == 2 and twice[0] == twice[1] and twice[0].doc_id is None
+    tied = language.identify(docs(spark, [prose[3]["text"] * 200]), model).first()      # longer than a slice
+    assert tied.lang_pred == prose[3]["lang"]
+
+
+def test_language_rejects_what_it_never_met(spark):
+    """Scripts and languages never met, letter junk; rows kept out of training stay but for one in a hundred."""
+    table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = language.train(table.where("doc_id % 4 <> 0"))
+    rng = np.random.default_rng(1)
+    junk = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz "), int(n))) for n in rng.integers(20, 2000, 100)]
+    other = ["Съешь же ещё этих мягких французских булок да выпей чаю, и ещё раз повторим это предложение",
+             "これは日本語の文章です。この文は学習されていない言語で書かれています。", "Η γρήγορη καφέ αλεπού πηδά πάνω από το σκυλί"]
+    far = language.identify(docs(spark, junk + other), model).orderBy("doc_id").collect()
+    assert sum(r.accepted for r in far[:100]) <= 10 and not any(r.accepted for r in far[100:])
+    kept = language.identify(table.where("doc_id % 4 = 0"), model).agg(F.avg(F.col("accepted").cast("int"))).first()[0]
+    assert kept > 0.99
 
 
 def test_quality_counts(spark, odd):
