@@ -28,6 +28,8 @@ from pyspark.sql import types as T
 
 SLICE_WIDTHS = 16     # slice length in window widths
 BLOCK_SLICES = 32     # slices per block
+CELLS = 64            # parts of one window
+CELL = ["_k", "win_start", "_cell"]
 OPEN = np.iinfo(np.int64).min // 2   # "no window open"
 
 
@@ -61,7 +63,7 @@ def group_bounds(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return starts, np.append(starts[1:], table.num_rows), np.cumsum(head) - 1
 
 
-def _units(table: pa.Table, unit: str) -> tuple[list[int], list[int]]:
+def units(table: pa.Table, unit: str) -> tuple[list[int], list[int]]:
     """First row and end of every run of one ``unit`` value inside a group."""
     v = _ints(table, unit)
     starts = np.flatnonzero(np.append(True, v[1:] != v[:-1]) | (_ints(table, "_i") == 1))
@@ -141,7 +143,7 @@ def _block_steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         heads = set(group_bounds(table)[0].tolist())
         entry, leave = _ints(table, "entry"), _ints(table, "leave")
         parts: list[list] = []
-        for s, e in zip(*_units(table, "_slice")):
+        for s, e in zip(*units(table, "_slice")):
             piece = (entry[s:e], leave[s:e])
             if s in heads:
                 parts.append([s, piece])
@@ -157,7 +159,7 @@ def _walk(batches: Iterator[pa.RecordBatch], unit: str) -> Iterator[pa.RecordBat
     for table in whole_groups(batches):
         heads = set(group_bounds(table)[0].tolist())
         entry, leave, first = _ints(table, "entry"), _ints(table, "leave"), _ints(table, "_state")
-        starts, ends = _units(table, unit)
+        starts, ends = units(table, unit)
         states, state = [], OPEN
         for s, e in zip(starts, ends):
             if s in heads:
@@ -273,8 +275,33 @@ def time_windows(df: DataFrame, keys: list[str], ts: str, seconds: int | Column,
     return anchored_windows(df, keys, pos, width, order).drop("win_first")
 
 
+def in_cells(df: DataFrame, ts: str, seconds: int | Column, keys: list[str]) -> DataFrame:
+    """Rows with ``win_start`` get ``_k`` (the key as text) and ``_cell``, one of ``CELLS`` equal parts of the
+    window, and are dealt by both.
+
+    A flood inside one window is spread over its cells; rows at one instant share a cell.
+    """
+    width = (seconds if isinstance(seconds, Column) else F.lit(seconds)).cast("long") * 1_000_000
+    into = F.unix_micros(F.col(ts).cast("timestamp")) - F.col("win_start")
+    rows = df.withColumns({"_k": _key(keys), "_cell": F.floor(into * CELLS / width).cast("int")})
+    # null filters keep the reads of this shuffle identical, so that it runs once
+    return rows.where("_k IS NOT NULL AND win_start IS NOT NULL AND _cell IS NOT NULL").repartition(*CELL)
+
+
 def numbered(df: DataFrame, keys: list[str], ts: str, seconds: int | Column, order: list[str] | None = None,
-             anchor: str = "first_event") -> DataFrame:
-    """``time_windows`` plus ``n``, the running count inside the window (bounded by the window length)."""
-    w = Window.partitionBy(*keys, "win_start").orderBy(ts, *(order or []))
-    return time_windows(df, keys, ts, seconds, order, anchor).withColumn("n", F.row_number().over(w))
+             anchor: str = "first_event", at_most: int | None = None) -> DataFrame:
+    """``time_windows`` plus ``n``, the running count inside the window.
+
+    Rows are counted inside cells of a window, and the totals of earlier cells are added: no task holds a whole window.
+    With ``at_most`` only the first rows of each window are given, and those past them leave before the shuffle.
+    """
+    rows = time_windows(df, keys, ts, seconds, order, anchor)
+    if at_most is not None:
+        w = Window.partitionBy(*keys, "win_start").orderBy(ts, *(order or []))
+        return rows.withColumn("n", F.row_number().over(w)).where(F.col("n") <= at_most)
+    rows = in_cells(rows, ts, seconds, keys)
+    inside = rows.withColumn("n", F.row_number().over(Window.partitionBy(*CELL).orderBy(ts, *(order or []))))
+    totals = rows.groupBy(*CELL).agg(F.count("*").alias("_rows"))
+    before = totals.select(*CELL, (F.sum("_rows").over(Window.partitionBy("_k", "win_start").orderBy("_cell"))
+                                   - F.col("_rows")).alias("_before"))
+    return inside.join(before, CELL).withColumn("n", F.col("n") + F.col("_before")).drop("_k", "_cell", "_before")

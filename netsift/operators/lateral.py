@@ -28,17 +28,23 @@ def smb_scan(conn: DataFrame, min_hosts: int = 5, window_seconds: int = 180, qui
              order: list[str] = (), anchor: str = "first_event") -> DataFrame:
     """A source reaching ``min_hosts`` internal hosts on 445/139 within the window.
 
-    A host counts when first met in the window; a source alerts once per ``quiet_seconds``.
+    A host counts when first met in the window; a source alerts once per ``quiet_seconds``.  First meetings are
+    minima per (source, window, host) and the window's rows are compared with the meeting that fills the number: no
+    task holds a whole window.
     """
     order = list(order)
     live = _internal(conn).where(F.col("id_resp_p").isin(445, 139)).select(SRC, DST, "ts", *order)
-    seen = time_windows(live, [SRC], "ts", window_seconds, order, anchor)
-    host = Window.partitionBy(SRC, "win_start", DST).orderBy("ts", *order)
-    run = Window.partitionBy(SRC, "win_start").orderBy("ts", *order).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    hosts = seen.withColumn("new", (F.row_number().over(host) == 1).cast("long")).withColumn(
-        "host_count", F.sum("new").over(run))
-    hits = throttle(hosts.where(F.col("host_count") >= min_hosts), [SRC], "ts", quiet_seconds, order)
+    seen = time_windows(live, [SRC], "ts", window_seconds, order, anchor).withColumn("at", F.struct("ts", *order))
+    # where each host is first met; of them the one that fills the number, found by a partial top-k
+    firsts = seen.groupBy(SRC, "win_start", DST).agg(F.min("at").alias("met"))
+    rank = F.row_number().over(Window.partitionBy(SRC, "win_start").orderBy("met"))
+    full = firsts.withColumn("r", rank).where(F.col("r") <= min_hosts).where(F.col("r") == min_hosts).select(
+        SRC, "win_start", F.col("met").alias("full"))
+    over = seen.join(full, [SRC, "win_start"]).where("at >= full").drop("full").withColumnRenamed("win_start", "opened")
+    alerts = throttle(over, [SRC], "ts", quiet_seconds, order)
+    met = firsts.select(SRC, F.col("win_start").alias("opened"), "met")
+    hits = (alerts.join(met, [SRC, "opened"]).where("met <= at").groupBy(SRC, DST, "ts", *order, "opened")
+            .agg(F.count("*").alias("host_count")))
     return findings(hits, "LM_SMB_Multi_Host_Scan", F.format_string("%s scanned %d SMB hosts", SRC, "host_count"),
                     dashed(F.lit("lm-smb-scan"), SRC), "SMB_MULTI_HOST_SCAN", "T1021.002",
                     keep=["host_count", *order])

@@ -269,12 +269,17 @@ def alerts(tables: dict[str, DataFrame], rules: list[Rule] = ALL_RULES, order: l
         count = _lookup(limited, lambda r: r.threshold[1], "int")
         kind = _lookup(limited, lambda r: r.threshold[0], "string")
         passed = F.when(kind == "limit", col("n") <= count).otherwise(col("n") == count)
-        kept = numbered(counted, ["sid", "src"], "ts", seconds, ["table", *order], anchor)
+        most = max(r.threshold[1] for r in limited)
+        kept = numbered(counted, ["sid", "src"], "ts", seconds, ["table", *order], anchor, at_most=most)
         parts.append(kept.where(passed).drop("win_start", "n"))
     if not parts:
         raise ValueError("no rule applies to the given tables")
-    out = reduce(DataFrame.unionByName, parts)
-    return out.select(
+    return described(reduce(DataFrame.unionByName, parts), rules, order)
+
+
+def described(hits: DataFrame, rules: list[Rule], order: list[str]) -> DataFrame:
+    """Matches with the message, class and technique of their rules."""
+    return hits.select(
         "sid", "table", "ts", "src", "dst", *order, _lookup(rules, lambda r: r.msg, "string").alias("msg"),
         _lookup(rules, lambda r: r.classtype, "string").alias("classtype"),
         _lookup(rules, lambda r: r.mitre, "string").alias("mitre_id"))
