@@ -2,8 +2,9 @@
 
 A payload travels as rows of (record, chunk number, bytes): Spark cuts it into chunks, writer tasks stream the
 chunks of one record after another into gzip members, reader tasks stream them back.  Every chunk row carries
-the SHA-256 of the payload up to its end, so the last one carries the payload's digest, and no task holds more of
-a record than a chunk.  Of records with equal payloads of at least ``least`` bytes that with the smallest page_id is
+the SHA-256 of the payload up to its end, so the last one carries the payload's digest.  The scan holds the payload of the row it
+reads, as any reader of a string column does; nothing behind it holds more than a chunk a row, nor an Arrow batch more than
+``BATCH_BYTES``.  Of records with equal payloads of at least ``least`` bytes that with the smallest page_id is
 a response and the others revisit it.
 
 Files get a name per task attempt, and the committed table of files says which count.
@@ -22,6 +23,7 @@ from pyspark.sql import functions as F
 from netsift.llm.scratch import folder, written
 
 CHUNK = 1 << 18
+BATCH_BYTES = 8 << 20
 HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 URN = "urn:page:"
@@ -30,27 +32,31 @@ URN = "urn:page:"
 def records(pages: DataFrame, least: int = 100, chunk: int = CHUNK) -> DataFrame:
     """page_id, url, size, digest, refers_to, chunk_no, last, data: the chunks of one record in order, side by side.
 
-    Null html counts as empty.  Rows without a page_id are responses.
+    Null html counts as empty.  Rows without a page_id are responses.  Of rows with equal payloads those with the smallest
+    page_id are responses, repeated ids included; each input row is a record of its own, in the order of page_id.
+    A revisit has one row and no data.  Other columns are ignored, an empty table has no records.
+
+    Chunks are cut one by one from numbers, so no row after the scan holds more of a payload than a chunk.  Who revisits
+    whom is worked out on ids and digests alone and joined to the chunks.
     """
     payload = F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary")
     rows = pages.select("page_id", F.col("url").cast("string").alias("url"), payload.alias("payload"))
-    light = rows.select("page_id", F.octet_length("payload").alias("size"), F.sha2("payload", 256).alias("digest")).where(
-        (F.col("size") >= least) & F.col("page_id").isNotNull())
+    rows = rows.withColumns({"size": F.octet_length("payload").cast("long"), "digest": F.sha2("payload", 256)})
+    light = rows.select("page_id", "size", "digest").where((F.col("size") >= least) & F.col("page_id").isNotNull())
     firsts = light.groupBy("digest", "size").agg(F.min("page_id").alias("refers_to"), F.count("*").alias("n")).where("n > 1")
-    again = light.join(firsts, ["digest", "size"]).where("page_id <> refers_to").select(
-        "page_id", F.col("digest").alias("same"), "refers_to").distinct()
-    known = rows.where("page_id is not null").withColumn("digest", F.sha2("payload", 256))
-    joined = known.join(again, (known["page_id"] == again["page_id"]) & (F.col("digest") == F.col("same")), "left").select(
-        known["page_id"], "url", "payload", "digest", "refers_to")
-    nameless = rows.where("page_id is null").select(
-        "page_id", "url", "payload", F.sha2("payload", 256).alias("digest"), F.lit(None).cast(pages.schema["page_id"].dataType).alias("refers_to"))
-    every = joined.unionByName(nameless)
-    size = F.octet_length("payload")
-    count = F.greatest(F.ceil(size / chunk), F.lit(1)).cast("int")
-    parts = F.transform(F.sequence(F.lit(0), count - 1), lambda k: F.substring(F.col("payload"), k * chunk + 1, F.lit(chunk)))
-    return every.select("page_id", "url", size.cast("long").alias("size"), "digest", "refers_to", count.alias("chunks"),
-                        F.posexplode(parts).alias("chunk_no", "data")).withColumn(
-        "last", F.col("chunk_no") == F.col("chunks") - 1).drop("chunks")
+    again = light.join(firsts, ["digest", "size"]).where("page_id <> refers_to").select("page_id", "digest", "refers_to").distinct()
+    count = F.greatest(F.ceil(F.col("size") / chunk), F.lit(1)).cast("int")
+    cut = (rows.withColumn("rid", F.monotonically_increasing_id()).withColumn("chunks", count)
+           .select("rid", "page_id", "url", "size", "digest", "chunks", "payload", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk_no"))
+           .withColumn("data", F.substring("payload", F.col("chunk_no") * chunk + 1, F.lit(chunk))).drop("payload"))
+    named = cut.where("page_id is not null").join(again, ["page_id", "digest"], "left")
+    loose = cut.where("page_id is null").withColumn("refers_to", F.lit(None).cast(pages.schema["page_id"].dataType))
+    second = F.col("refers_to").isNotNull()
+    every = named.unionByName(loose).where(~second | (F.col("chunk_no") == 0))
+    return (every.withColumn("data", F.when(second, F.lit(b"")).otherwise(F.col("data")))
+            .withColumn("last", second | (F.col("chunk_no") == F.col("chunks") - 1))
+            .sortWithinPartitions("page_id", "rid", "chunk_no")
+            .select("page_id", "url", "size", "digest", "refers_to", "chunk_no", "data", "last"))
 
 
 def _head(page_id, url, size: int, digest: str, refers_to) -> bytes:
@@ -66,8 +72,12 @@ def _head(page_id, url, size: int, digest: str, refers_to) -> bytes:
 
 
 def write(chunks: DataFrame, roll: int = 128 << 20, level: int = 1) -> DataFrame:
-    """Write the records; returns the committed table of files: root, path, records."""
-    target = folder(chunks.sparkSession, "warc")
+    """Write the records; returns the committed table of files: root, path, records.
+
+    Arrow batches hold at most ``BATCH_BYTES`` of chunks.
+    """
+    spark = chunks.sparkSession
+    target = folder(spark, "warc")
 
     def run(batches):
         from pyarrow import fs
@@ -88,7 +98,7 @@ def write(chunks: DataFrame, roll: int = 128 << 20, level: int = 1) -> DataFrame
                 if refers_to is None:
                     at += out.write(packer.compress(data)) or 0
                 if last:
-                    if own.hexdigest() != digest:
+                    if refers_to is None and own.hexdigest() != digest:
                         raise ValueError(f"payload of record {page_id} changed on its way")
                     at += out.write(packer.compress(b"\r\n\r\n") + packer.flush()) or 0
                     count += 1
@@ -100,8 +110,15 @@ def write(chunks: DataFrame, roll: int = 128 << 20, level: int = 1) -> DataFrame
             out.close()
             yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([count])], ["path", "records"])
 
-    return written(chunks.select("page_id", "url", "size", "digest", "refers_to", "chunk_no", "data", "last").mapInArrow(
-        run, "path string, records long").withColumn("root", F.lit(target)), "files")
+    streamed = chunks.select("page_id", "url", "size", "digest", "refers_to", "chunk_no", "data", "last").mapInArrow(
+        run, "path string, records long").withColumn("root", F.lit(target))
+    limit = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, str(max(1, BATCH_BYTES // CHUNK)))
+    try:
+        return written(streamed, "files")
+    finally:
+        spark.conf.set(limit, before)
 
 
 class _Inflated:

@@ -197,6 +197,38 @@ def test_archives(spark):
     assert chunks[1].digest == hashlib.sha256(html[6].encode()[:2 * warc.CHUNK]).hexdigest()
 
 
+def test_archive_batches_are_bounded(spark, tmp_path, monkeypatch):
+    """A payload of 64 MB goes to the writer in batches of at most BATCH_BYTES, and no row holds more than a chunk."""
+    import pyarrow as pa
+
+    big = spark.range(1).select(F.lit(1).cast("long").alias("page_id"), F.lit("http://x/").alias("url"),
+                                F.repeat(F.lit("0123456789abcdef"), 4 << 20).alias("html"))
+    chunks = warc.records(big)
+
+    def watch(batches):
+        rows = [(b.num_rows, sum(len(v.as_py()) for v in b.column("data")), max(len(v.as_py()) for v in b.column("data"))) for b in batches]
+        if rows:
+            yield pa.RecordBatch.from_pylist([{"rows": r, "held": h, "longest": m} for r, h, m in rows])
+
+    limit = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, str(warc.BATCH_BYTES // warc.CHUNK))
+    seen = chunks.mapInArrow(watch, "rows long, held long, longest long").collect()
+    spark.conf.set(limit, before)
+    assert sum(r.held for r in seen) == 64 << 20 and max(r.held for r in seen) <= warc.BATCH_BYTES
+    assert max(r.longest for r in seen) == warc.CHUNK
+    assert [(r.page_id, r.payload_bytes) for r in warc.payloads(warc.write(chunks)).collect()] == [(1, 64 << 20)]
+    assert spark.conf.get(limit) == before
+
+
+def test_archives_of_repeated_and_null_ids(spark):
+    rows = [(5, "q" * 200), (5, "q" * 200), (9, "q" * 200), (5, "other" * 100), (None, "q" * 200), (None, None), (7, "short"), (8, "short")]
+    pages = spark.createDataFrame([(k, "u", h, "x") for k, h in rows], "page_id long, url string, html string, digest string")
+    got = sorted(((r.page_id, r.payload_bytes, r.record_type, r.refers_to) for r in warc.payloads(warc.write(warc.records(pages))).collect()), key=str)
+    assert got == sorted([(5, 200, "response", None), (5, 200, "response", None), (9, 200, "revisit", 5), (5, 500, "response", None),
+                          (None, 200, "response", None), (None, 0, "response", None), (7, 5, "response", None), (8, 5, "response", None)], key=str)
+
+
 def test_packing(spark, odd, prose):
     from tokenizers import Tokenizer
 
