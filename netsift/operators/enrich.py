@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from netsift.constants import INDICATORS
@@ -46,20 +46,42 @@ def addresses_in_text(df: DataFrame, column: str = "text") -> DataFrame:
     return df.withColumn("ip", F.explode(found))
 
 
+def located(addresses: DataFrame, ranges: DataFrame, ip: str) -> DataFrame:
+    """``ip``, country, lat, lon of each distinct address that a range covers.
+
+    ``ranges`` holds disjoint ``ip_start, ip_end, country, lat, lon`` with numeric ends.  Range starts and addresses are merged in
+    order and each address takes the last start before it.  The merge is cut at every 65,536 addresses: ranges are
+    clipped there, so no part depends on another, and as addresses are distinct and ranges disjoint a part has at most
+    131,072 rows, however crowded it is.
+    """
+    block = lambda c: F.shiftright(c, 16)
+    clipped = ranges.select("ip_start", "ip_end", F.struct("ip_end", "country", "lat", "lon").alias("range"),
+                            F.explode(F.sequence(block("ip_start"), block("ip_end"))).alias("block"))
+    starts = clipped.select("block", F.greatest("ip_start", F.col("block") * 65536).alias("at"), F.lit(0).alias("side"), "range",
+                            F.lit(None).cast("string").alias(ip))
+    single = addresses.select(ip, ip_to_long(ip).alias("at")).where("at is not null").distinct()
+    points = single.select(block("at").alias("block"), "at", F.lit(1).alias("side"),
+                           F.lit(None).cast(clipped.schema["range"].dataType).alias("range"), ip)
+    order = Window.partitionBy("block").orderBy("at", "side").rowsBetween(Window.unboundedPreceding, 0)
+    near = starts.unionByName(points).withColumn("range", F.last("range", ignorenulls=True).over(order))
+    return near.where((F.col("side") == 1) & (F.col("range.ip_end") >= F.col("at"))).select(
+        ip, F.col("range.country").alias("country"), F.col("range.lat").alias("lat"), F.col("range.lon").alias("lon"))
+
+
+def _joined(df: DataFrame, found: DataFrame, ip: str, prefix: str) -> DataFrame:
+    side = found.select(F.col("_address").alias(ip), *[F.col(c).alias(f"{prefix}_{c}") for c in ("country", "lat", "lon")])
+    return df.join(side, ip, "left").select(*df.columns, *side.columns[1:])
+
+
 def locate(df: DataFrame, ranges: DataFrame, ip: str, prefix: str) -> DataFrame:
     """Add ``<prefix>_country``, ``_lat`` and ``_lon`` from address ranges; null where none covers the address.
 
-    ``ranges`` holds disjoint ``ip_start, ip_end, country, lat, lon`` with numeric ends.  Both sides
-    are cut into /16 blocks, which turns the range test into an equi join plus a filter.
+    Distinct addresses are located once (``located``) and joined back by equality.
     """
-    blocks = ranges.select(
-        F.explode(F.sequence(F.shiftright("ip_start", 16), F.shiftright("ip_end", 16))).alias("_block"),
-        F.col("ip_start").alias("_from"), F.col("ip_end").alias("_to"), F.col("country").alias(f"{prefix}_country"),
-        F.col("lat").alias(f"{prefix}_lat"), F.col("lon").alias(f"{prefix}_lon"))
-    keyed = df.withColumn("_ip", ip_to_long(ip))
-    same = (F.shiftright("_ip", 16) == F.col("_block")) & F.col("_ip").between(F.col("_from"), F.col("_to"))
-    return keyed.join(blocks, same, "left").drop("_ip", "_block", "_from", "_to")
+    return _joined(df, located(df.select(F.col(ip).alias("_address")), ranges, "_address"), ip, prefix)
 
 
 def locate_both(df: DataFrame, ranges: DataFrame, src: str = "id_orig_h", dst: str = "id_resp_h") -> DataFrame:
-    return locate(locate(df, ranges, dst, "dst_geo"), ranges, src, "src_geo")
+    both = df.select(F.explode(F.array_distinct(F.array(src, dst))).alias("_address"))
+    found = located(both, ranges, "_address")
+    return _joined(_joined(df, found, dst, "dst_geo"), found, src, "src_geo")

@@ -49,28 +49,44 @@ def verdict(score: Column, threshold: int) -> Column:
             .otherwise("LOW"))
 
 
-def score_sources(alerts: DataFrame, threshold: int = 70, bucket_seconds: int | None = None) -> DataFrame:
-    """One row per source (and time bucket) with capped score, distinct alerts and verdict.
+_KIND = ("src", "bucket", "type", "severity")
 
-    Repeats of a (type, severity) add to the score but are listed once, by their first alert.
-    They are folded before the per-source gathering, so a source gathers only as
-    many entries as there are alert types.
-    """
-    bucket = ["bucket"] if bucket_seconds else []
-    if bucket_seconds:
-        alerts = alerts.withColumn("bucket", floor_to("ts", bucket_seconds))
-    order = F.struct("source_rank", "ts", "seq")
+
+def kinds(alerts: DataFrame, bucket_seconds: int | None = None) -> DataFrame:
+    """Alerts as partial rows of ``merge_kinds``: one kind each, ``bucket`` null without ``bucket_seconds``."""
+    bucket = floor_to("ts", bucket_seconds) if bucket_seconds else F.lit(None).cast("timestamp")
     first = F.struct("source_rank", "ts", "seq", "source", "type", "severity", "msg", "weight", "mitre")
-    kinds = alerts.groupBy("src", *bucket, "type", "severity").agg(
-        F.sum("weight").alias("total"), F.min_by(first, order).alias("alert"), F.max("mitre").alias("mitre"))
+    return alerts.select("src", bucket.alias("bucket"), "type", "severity", F.col("weight").cast("long").alias("total"),
+                         first.alias("alert"), "mitre")
+
+
+def merge_kinds(rows: DataFrame) -> DataFrame:
+    """Fold alerts, or kinds folded before, to one row per source, bucket, type and severity: score and first alert."""
+    order = F.struct("alert.source_rank", "alert.ts", "alert.seq")
+    return rows.groupBy(*_KIND).agg(F.sum("total").alias("total"), F.min_by("alert", order).alias("alert"), F.max("mitre").alias("mitre"))
+
+
+def gather(folded: DataFrame, threshold: int = 70) -> DataFrame:
+    """One row per source and bucket from its folded kinds."""
     score = F.least(F.lit(100), F.sum("total"))
-    return (kinds.groupBy("src", *bucket)
+    return (folded.groupBy("src", "bucket")
             .agg(score.cast("int").alias("threat_score"), F.count("*").cast("int").alias("alert_count"),
                  F.array_sort(F.collect_list("alert")).alias("alerts"),
                  F.sort_array(F.collect_set("mitre")).alias("mitre_ttps"))
             .withColumn("verdict", verdict(F.col("threat_score"), threshold)))
 
 
+def score_sources(alerts: DataFrame, threshold: int = 70, bucket_seconds: int | None = None) -> DataFrame:
+    """One row per source (and time bucket) with capped score, distinct alerts and verdict.
+
+    Repeats of a (type, severity) add to the score but are listed once, by their first alert.
+    They are folded before the per-source gathering, so a source gathers only as
+    many entries as there are alert types.
+    """
+    found = gather(merge_kinds(kinds(alerts, bucket_seconds)), threshold)
+    return found if bucket_seconds else found.drop("bucket")
+
+
 def correlate(notices: DataFrame | None, events: DataFrame | None, threshold: int = 70,
               bucket_seconds: int | None = None, notice_seq: str = "seq", event_seq: str = "flow_id",
               event_ts: str = "timestamp") -> DataFrame:

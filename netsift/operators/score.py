@@ -28,14 +28,27 @@ def entropy_score(entropy: Column, threshold: float = 3.5, base_mean: Column | N
     return F.round(raw * 100, 2)
 
 
+def _with_baseline(df: DataFrame, baseline: DataFrame | tuple[float, float] | None) -> tuple[DataFrame, Column | None, Column | None]:
+    """The rows with the baseline's mean and deviation; a baseline in a DataFrame is one row, sent to every task."""
+    if baseline is None:
+        return df, None, None
+    if not isinstance(baseline, DataFrame):
+        return df, F.lit(baseline[0]), F.lit(baseline[1])
+    row = baseline.agg(F.first("base_mean").alias("_mean"), F.first("base_std").alias("_std")).withColumn("_one", F.lit(1))
+    return df.withColumn("_one", F.lit(1)).join(F.broadcast(row), "_one"), F.col("_mean"), F.col("_std")
+
+
 def entropy_domains(domains: DataFrame, column: str = "domain", threshold: float = 3.5, min_length: int = 6,
-                    baseline: tuple[float, float] | None = None) -> DataFrame:
-    """Names whose first label reaches the entropy threshold, best score first."""
+                    baseline: DataFrame | tuple[float, float] | None = None) -> DataFrame:
+    """Names whose first label reaches the entropy threshold, best score first.
+
+    ``baseline`` is the row of ``entropy_baseline``, joined in the plan, or two numbers.
+    """
     label = text.first_label(column)
     e = F.col("entropy")
-    mean, std = (F.lit(baseline[0]), F.lit(baseline[1])) if baseline else (None, None)
     hits = (domains.select(F.col(column).alias("domain"), label.alias("label")).where(F.length("label") >= min_length)
             .withColumn("entropy", text.entropy("label", digits=4)).where(e >= threshold))
+    hits, mean, std = _with_baseline(hits, baseline)
     scored = hits.withColumn("score", entropy_score(e, threshold, mean, std))
     return scored.select(
         "domain", "label", "entropy", text.consonants_per_vowel("label", 3).alias("cv_ratio"),
@@ -47,7 +60,7 @@ def entropy_domains(domains: DataFrame, column: str = "domain", threshold: float
 def unified_scores(conn: DataFrame, pair_domains: DataFrame | None = None, cv_threshold: float = 0.3,
                    min_connections: int = 10, entropy_threshold: float = 3.5, volume_threshold: int = HUNDRED_MB,
                    weights: tuple[float, float, float] = (0.4, 0.3, 0.3),
-                   baseline: tuple[float, float] | None = None) -> DataFrame:
+                   baseline: DataFrame | tuple[float, float] | None = None) -> DataFrame:
     """Interval, entropy and volume signals of each source-destination pair in one score.
 
     ``pair_domains`` maps pairs to a domain (``id_orig_h, id_resp_h, domain``), the caller's
@@ -63,8 +76,8 @@ def unified_scores(conn: DataFrame, pair_domains: DataFrame | None = None, cv_th
     if pair_domains is None:
         joined = joined.withColumn("entropy_score", F.lit(0.0))
     else:
-        mean, std = (F.lit(baseline[0]), F.lit(baseline[1])) if baseline else (None, None)
         e = text.entropy(text.first_label("domain"), digits=4)
+        pair_domains, mean, std = _with_baseline(pair_domains, baseline)
         named = pair_domains.select(*PAIR, entropy_score(e, entropy_threshold, mean, std).alias("e")).groupBy(*PAIR).agg(
             F.max("e").alias("entropy_score"))
         joined = joined.join(named, PAIR, "full_outer")

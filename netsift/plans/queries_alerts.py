@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from netsift.functions import net, text
 from netsift.operators import dns as dns_ops
-from netsift.operators import ecs, enrich, incidents, intervals, panels, reports, rules, score
+from netsift.operators import ecs, enrich, incidents, intervals, panels, reports, rules, score, textmatch
 from netsift.operators.anchored import time_windows
 from netsift.plans import bind
 from netsift.plans.catalog import query
@@ -203,6 +203,20 @@ def entropy_domains(spark, sf):
     return score.entropy_domains(names, threshold=2.0, min_length=5, baseline=(1.8, 0.4))
 
 
+@query("entropy_domains_baseline", f"""
+WITH {LABELS}, base AS (SELECT avg(round(e, 4)) AS m, stddev_pop(round(e, 4)) AS sd
+  FROM (SELECT string_split(host, '.')[1] AS label FROM hosts WHERE page_id % 3 = 0) JOIN ent USING (label) WHERE len(label) >= 6),
+d AS (SELECT DISTINCT host AS domain, string_split(host, '.')[1] AS label FROM hosts)
+SELECT domain, round(e, 4) AS entropy, round(least(1, greatest(0, (round(e, 4) - m) / greatest(sd, 0.01) / 3)) * 100, 2) AS score
+FROM d JOIN ent USING (label), base WHERE len(label) >= 5 AND round(e, 4) >= 2.0""", ["dns", "hosts"])
+def entropy_domains_baseline(spark, sf):
+    hosts = bind.hosts(spark, sf)
+    benign = hosts.where("page_id % 3 = 0").select(text.first_label("host").alias("label"))
+    names = hosts.select(F.col("host").alias("domain")).distinct()
+    found = score.entropy_domains(names, threshold=2.0, min_length=5, baseline=score.entropy_baseline(benign, "label"))
+    return found.select("domain", "entropy", "score")
+
+
 @query("entropy_baseline", f"""
 WITH {LABELS}, h AS (SELECT string_split(host, '.')[1] AS label FROM hosts)
 SELECT round(avg(round(e, 4)), 6) AS base_mean, round(stddev_pop(round(e, 4)), 6) AS base_std
@@ -279,6 +293,46 @@ def published_indicator_hits(spark, sf):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+_OCCURS = """
+found AS (SELECT {key}, type, value, unnest(range(1, len(p))) AS i, p FROM
+  (SELECT {key}, type, value, string_split(lower({text}), lower(value)) AS p FROM {rows}, listed WHERE contains(lower({text}), lower(value)))),
+kept AS (SELECT {key}, type, value, sum(len(p[i])) OVER (PARTITION BY {key}, type, value ORDER BY i) + (i - 1) * len(value) AS start,
+  regexp_matches(p[i], '[\\pL\\pN_-]$') AS before, regexp_matches(p[i], '[.]$') AS dot, regexp_matches(p[i + 1], '^[\\pL\\pN_-]') AS after,
+  regexp_matches(p[i + 1], '^[.][\\pL\\pN]') AS label, regexp_matches(p[i + 1], '^([\\s"''<>)]|$)') AS stop FROM found)
+SELECT {key}, start::BIGINT AS start, type AS ioc_type, value AS ioc_value FROM kept
+WHERE CASE type WHEN 'url' THEN NOT before AND stop ELSE NOT before AND NOT after AND (type = 'hash' OR NOT label) AND (type <> 'ip' OR NOT dot) END"""
+
+
+@query("indicators_in_text", """
+WITH listed AS (SELECT DISTINCT 'domain' AS type, 'mail' || n_nationkey || '.example.com' AS value FROM nation
+  UNION SELECT 'domain', 'example.com' UNION SELECT 'ip', ip FROM (SELECT regexp_extract(text, '[0-9]+[.][0-9]+[.][0-9]+[.][0-9]+') AS ip FROM documents
+    WHERE doc_id % 20 = 0) WHERE ip <> ''
+  UNION SELECT 'hash', h FROM (SELECT regexp_extract(text, '[0-9a-f]{40}') AS h FROM documents WHERE doc_id % 10 = 0) WHERE h <> ''),"""
+       + _OCCURS.format(key="doc_id", text="text", rows="documents"))
+def indicators_in_text(spark, sf):
+    docs, nations = bind.table(spark, sf, "documents"), bind.table(spark, sf, "nation")
+    value = lambda df, kind, c: df.select(F.lit(kind).alias("type"), c.alias("value"))
+    found = lambda n, p: F.regexp_extract(F.when(F.col("doc_id") % n == 0, F.col("text")), p, 0)
+    listed = (value(nations, "domain", F.concat(F.lit("mail"), "n_nationkey", F.lit(".example.com")))
+              .unionByName(value(nations, "domain", F.lit("example.com")))
+              .unionByName(value(docs, "ip", found(20, r"[0-9]+[.][0-9]+[.][0-9]+[.][0-9]+")))
+              .unionByName(value(docs, "hash", found(10, "[0-9a-f]{40}"))).distinct())
+    details = {c: F.lit("x") for c in ("family", "role", "confidence")}
+    return textmatch.indicators_in(docs, listed.withColumns(details), ["doc_id"], "text").select("doc_id", "start", "ioc_type", "ioc_value")
+
+
+@query("indicators_in_urls", f"""
+WITH listed AS (SELECT DISTINCT 'domain' AS type, {BASE.format('host')} AS value FROM hosts WHERE page_id % 9 = 0
+  UNION SELECT 'url', url FROM hosts WHERE page_id % 5 = 0),"""
+       + _OCCURS.format(key="page_id", text="url", rows="hosts"), ["hosts"])
+def indicators_in_urls(spark, sf):
+    h = bind.hosts(spark, sf)
+    listed = h.where("page_id % 9 = 0").select(F.lit("domain").alias("type"), text.base_domain("host").alias("value")).unionByName(
+        h.where("page_id % 5 = 0").select(F.lit("url").alias("type"), F.col("url").alias("value")))
+    details = {c: F.lit("x") for c in ("family", "role", "confidence")}
+    return textmatch.indicators_in(h, listed.withColumns(details), ["page_id"], "url").select("page_id", "start", "ioc_type", "ioc_value")
+
+
 IP_LONG = ("(split_part({0}, '.', 1)::BIGINT * 16777216 + split_part({0}, '.', 2)::BIGINT * 65536 "
            "+ split_part({0}, '.', 3)::BIGINT * 256 + split_part({0}, '.', 4)::BIGINT)")
 
