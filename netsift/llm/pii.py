@@ -3,8 +3,9 @@
 Fixed patterns give the base spans (e-mail, IP, card, phone).  These are seeds: the words beside them are
 lexical patterns.  Patterns and the values they surround form a graph whose scores are passed to and fro for
 a few rounds: a pattern is as good as the values it surrounds, a value as good as the patterns around it.
-Values of identifier shape (at least ``min_digits`` digits) that no fixed pattern took and that end with a
-score of ``confident`` or more become further spans of that kind.
+Values of identifier shape that no fixed pattern took and that end with a score of ``confident`` or more become
+further spans of that kind, if their shape is one of the kind's: numbers for phones, cards and addresses, letters or
+letters with digits for e-mail (``suits``).
 
 Patterns run over whole texts in time linear in their length (no pattern can start inside a run it has
 already refused), and positions are code points, ends exclusive.
@@ -26,7 +27,12 @@ PATTERNS = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-TOKEN = r"(?<!\S)[^\s0-9]*+[0-9]\S*+"
+#: Candidates for context: they start behind white space, ``:`` or ``=`` (so a glued cue is a cue).  Names spelled with "at" and
+#: "dot"; up to five groups of digits and dialling signs; words with a digit; letters joined by signs.
+_END = r"(?=[\s,;:!?]|$)"
+TOKEN = (r"(?<![^\s:=])(?:[^\s:=@]++\x20at\x20\S++\x20dot\x20\p{L}++"
+         rf"|[+(]?+[0-9][0-9()./-]*+{_END}(?:\x20[0-9(][0-9()./-]*+{_END}){{0,4}}+"
+         r"|[^\s0-9:=]*+[0-9]\S*+|\p{L}++(?:[._()\[\]{}+-]++\p{L}++)++)")
 #: The whole word before a value (on any line) and the one behind it on the same line; no run is looked at twice.
 BEFORE, BEHIND = r"(?<!\S)(\S++)\s*+$", r"^[^\S\n\r]*+(\S++)"
 
@@ -44,21 +50,26 @@ def _found(text: Column, kind: str, pattern: str, worth: Column) -> Column:
         F.regexp_extract(x["n"], BEHIND, 1).alias("right"))), F.array())
 
 
+def _key(doc_id: str, text) -> Column:
+    """128 bits of id and text: two of them are equal only for equal rows."""
+    return F.struct(F.xxhash64(doc_id, text).alias("a"), F.xxhash64(text, F.lit(1), doc_id).alias("b"))
+
+
 def matches(docs: DataFrame) -> DataFrame:
     """rid, key, doc_id, kind, start, end, value, left, right, valid; a row without a match has one row of nulls.
 
-    ``rid`` numbers the input rows, ``key`` is a hash of id and text.  Kind ``token`` is a word with a digit.
+    ``rid`` numbers the input rows, ``key`` is a hash of id and text.  Kind ``token`` is a candidate for context.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select("doc_id", text.alias("text")).withColumn("rid", F.monotonically_increasing_id())
     worth = {
         "email": F.contains("text", F.lit("@")), "ip": F.col("text").rlike(r"[0-9]\.[0-9]"),
         "card": F.col("text").rlike(r"[0-9](?:[\x20-]?[0-9]){13}"), "phone": F.contains("text", F.lit("+")),
-        "token": F.col("text").rlike("[0-9]"),
+        "token": F.col("text").rlike(r"[0-9]|\p{L}[._()\[\]{}+-]\p{L}|\x20at\x20"),
     }
     every = [_found(F.col("text"), k, p, worth[k]) for k, p in {**PATTERNS, "token": TOKEN}.items()]
     flat = written(rows.select(
-        "rid", F.xxhash64("doc_id", "text").alias("key"), "doc_id",
+        "rid", _key("doc_id", "text").alias("key"), "doc_id",
         F.explode_outer(F.concat(*every)).alias("m")).select("rid", "key", "doc_id", "m.*"), "matches")
     order = Window.partitionBy("rid", "kind").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
     size = F.length("value")
@@ -82,6 +93,19 @@ def matches(docs: DataFrame) -> DataFrame:
     return written(placed.unionByName(nothing), "placed")
 
 
+def _digits(value: str = "value") -> Column:
+    return F.length(F.regexp_replace(value, "[^0-9]", ""))
+
+
+def suits(value: str, kind: str, min_digits: int) -> Column:
+    """Whether a value's shape is one that identifiers of the kind have."""
+    n, letter = _digits(value), F.col(value).rlike(r"\p{L}")
+    dots = F.length(F.regexp_replace(value, "[^.]", ""))
+    return (F.when(F.col(kind) == "email", letter & ((n == 0) | (n >= min_digits)))
+            .when(F.col(kind) == "phone", ~letter & n.between(min_digits - 1, 15))
+            .when(F.col(kind) == "card", ~letter & n.between(12, 19)).otherwise(~letter & (dots == 3)))
+
+
 def contextual(found: DataFrame, rounds: int = 3, confident: float = 0.9, support: int = 3, min_digits: int = 6) -> DataFrame:
     """rid, kind, start, end of further spans, induced from the base spans in ``found``.
 
@@ -91,7 +115,7 @@ def contextual(found: DataFrame, rounds: int = 3, confident: float = 0.9, suppor
     reliable cue is enough whatever stands on the other side.
     """
     base = found.where("valid and kind <> 'token'")
-    token = found.where((F.col("kind") == "token") & (F.length(F.regexp_replace("value", "[^0-9]", "")) >= min_digits))
+    token = found.where((F.col("kind") == "token") & ((_digits() >= min_digits - 1) | (_digits() == 0)))
     taken = base.select(F.col("rid").alias("r"), F.col("start").alias("s"), F.col("end").alias("e"))
     loose = token.join(taken, (F.col("rid") == F.col("r")) & (F.col("start") < F.col("e")) & (F.col("s") < F.col("end")), "left_anti")
 
@@ -116,7 +140,7 @@ def contextual(found: DataFrame, rounds: int = 3, confident: float = 0.9, suppor
         able = good.groupBy("pattern", "kind").agg(
             F.sum("good").alias("good"), F.count_distinct(F.when(F.col("sure"), F.col("value"))).alias("values")).where(F.col("values") >= support)
         patterns = able.join(total, "pattern").select("pattern", "kind", (F.col("good") / (F.col("all") + 1)).alias("trust"))
-        told = (loose_places.withColumn("pattern", F.explode("sides")).join(patterns, "pattern")
+        told = (loose_places.withColumn("pattern", F.explode("sides")).join(patterns, "pattern").where(suits("value", "kind", min_digits))
                 .groupBy("value", "sides", "n", "kind").agg(F.max("trust").alias("trust")))
         score = written(told.groupBy("value", "kind").agg(F.sum(F.col("n") * F.col("trust")).alias("t"))
                         .join(weight, "value").select("value", "kind", (F.col("t") / F.col("places")).alias("score")), "score")
@@ -157,10 +181,12 @@ def masked(docs: DataFrame, **settings) -> DataFrame:
 
     Spans that overlap are covered by one name, that of the first.  Texts without a span stay as they are.
     """
-    mine = spans(docs, **settings).where(F.size("all") > 0).select("key", F.col("all").alias("__all")).dropDuplicates(["key"])
+    key, spans_of = "__key", "__all"
+    while {key, spans_of} & set(docs.columns):
+        key, spans_of = f"_{key}", f"_{spans_of}"
+    mine = spans(docs, **settings).where(F.size("all") > 0).select("key", F.col("all").alias(spans_of)).dropDuplicates(["key"])
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = docs.withColumn("__key", F.xxhash64("doc_id", text))
-    both = rows.join(mine.withColumnRenamed("key", "__key"), "__key", "left")
+    both = docs.withColumn(key, _key("doc_id", text)).join(mine.withColumnRenamed("key", key), key, "left")
     # fold: written so far, and the code point up to which the text is dealt with
     start = F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at"))
 
@@ -170,9 +196,9 @@ def masked(docs: DataFrame, **settings) -> DataFrame:
         return F.struct(F.when(fresh, F.concat(acc["out"], gap, F.lit("<"), F.upper(x["kind"]), F.lit(">")))
                         .otherwise(acc["out"]).alias("out"), F.greatest(acc["at"], x["end"]).alias("at"))
 
-    done = F.aggregate("__all", start, step, lambda a: F.concat(
+    done = F.aggregate(spans_of, start, step, lambda a: F.concat(
         a["out"], F.substring(F.col("text"), (a["at"] + 1).cast("int"), F.length("text"))))
-    changed = both.withColumn("text", F.when(F.col("__all").isNotNull(), done).otherwise(F.col("text")))
+    changed = both.withColumn("text", F.when(F.col(spans_of).isNotNull(), done).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
-        changed = changed.withColumn("n_chars", F.when(F.col("__all").isNotNull(), F.length("text").cast("long")).otherwise(F.col("n_chars")))
+        changed = changed.withColumn("n_chars", F.when(F.col(spans_of).isNotNull(), F.length("text").cast("long")).otherwise(F.col("n_chars")))
     return changed.select(*docs.columns)

@@ -295,6 +295,32 @@ def test_contexts_find_unseen_identifiers(spark):
     assert masked[41].text == hidden[1]
 
 
+def test_contexts_find_values_of_other_shapes(spark):
+    """Values with blanks, glued cues, no digits or few; numbers and names beside other words are left alone."""
+    seeds = [f"phone: +1 (377) 555-{1000 + k} today" for k in range(60)] + [f"email: user{k}@site{k}.org now" for k in range(60)]
+    hidden = ["phone: 555-123-4567 ok", "phone: (555)123-4567 ok", "phone:\t555.123.4567", "phone: 555 123 4567 ok", "Phone:5551234567 ok", "phone: 12345\nx",
+              "email: john(at)site.org ok", "email: john at site dot org ok", "email: j.smith_no-domain ok"]
+    values = ["555-123-4567", "555)123-4567", "555.123.4567", "555 123 4567", "5551234567", "12345", "john(at)site.org", "john at site dot org", "j.smith_no-domain"]
+    plain = [f"order {10_000_000 + 37 * k} shipped, part no-{k} well-known e.g. look at this dot here, total 555 123 {k + 1000}" for k in range(200)]
+    plain += ["phone: none given", "email: see below", "phone: x-ray 12 ok", "order: 5551234568 ok"]
+    rows = {r.doc_id: r for r in pii.personal_data(docs(spark, seeds + hidden + plain)).collect()}
+    for k, (text, value) in enumerate(zip(hidden, values)):
+        at = text.index(value)
+        kind = "phone" if text.lower().startswith("phone") else "email"
+        assert rows[120 + k].spans == f"{kind}:{at}:{at + len(value)}", (text, rows[120 + k].spans)
+    found = sum(rows[129 + k].spans != "" for k in range(len(plain)))
+    assert found == 0                    # precision on look-alikes: no span in 204 texts
+
+
+def test_personal_data_of_repeated_and_null_ids(spark):
+    text = "a@b.co 1.2.3.4"
+    table = docs(spark, [text, text, None, ""]).withColumn("doc_id", F.when(F.col("id") < 1, 5).cast("long"))
+    got = pii.personal_data(table).collect()
+    assert sorted(r.spans for r in got) == ["", "", "email:0:6,ip:7:14", "email:0:6,ip:7:14"]
+    assert sorted(r.text or "" for r in pii.masked(table).collect()) == ["", "", "<EMAIL> <IP>", "<EMAIL> <IP>"]
+    assert pii.masked(table.where("false")).count() == 0
+
+
 def test_grammar_files(spark, odd):
     from tokenizers import Tokenizer
 
