@@ -40,7 +40,8 @@ def folded_words(text):
     return [w for w in re.split(SPACE, re.sub("[A-Z]+", lambda m: m.group().lower(), text or "")) if w]
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+# words and trie nodes have tests of their own over the whole table
+@pytest.mark.parametrize("name", sorted(q for q in QUERIES if q.split("_")[0] not in ("op11", "op13")))
 def test_queries_give_whole_tables(spark, name):
     rows = QUERIES[name](spark, SF).collect()
     key, source = {"op3": ("page_id", "pages"), "op4": ("vec_id", "embeddings")}.get(name.split("_")[0], ("doc_id", "documents"))

@@ -6,6 +6,7 @@ import zlib
 import pytest
 
 from netsift.llm import prefixes
+from netsift.llm.queries import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
 FIELDS = ("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
@@ -72,3 +73,14 @@ def test_trie_of_nothing(spark):
 def test_trie_of_the_given_table(spark):
     talks = spark.read.parquet(f"{SF}/conversations.parquet")
     assert found(prefixes.trie(talks)) == brute([tuple(r) for r in talks.select("conv_id", "turn", "role", "text").collect()])
+
+
+def test_query_equals_sql(spark):
+    import sys
+    from pathlib import Path
+
+    sys.path.insert(0, str(Path(__file__).parents[1]))
+    from oracle import compare, duck
+
+    got, want = compare(spark, duck(SF), SF, QUERIES["op13_conversation_trie"], ORACLES["op13_conversation_trie"])
+    assert got == want
