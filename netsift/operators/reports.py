@@ -89,7 +89,7 @@ def alert_table(alerts: DataFrame) -> DataFrame:
         before += n
     base = spark.createDataFrame(begin, "_part long, _before long")
     ranked = rows.join(F.broadcast(base), "_part").withColumn(
-        "rank", (F.col("_before") + F.col("_at").bitwiseAND((1 << 33) - 1) + 1).cast("int"))
+        "rank", (F.col("_before") + F.col("_at").bitwiseAND((1 << 33) - 1) + 1).cast("long"))
     dash = lambda c: F.coalesce(F.col(c), F.lit("-"))
     line = F.format_string("| %d | %s | %s | %s | %s |", "rank", dash("type"), dash("severity"), dash("src"), dash("detail"))
     return ranked.select("rank", line.alias("line"))
