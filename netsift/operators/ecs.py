@@ -127,6 +127,7 @@ def http_to_ecs(http: DataFrame, ranges: DataFrame | None = None) -> DataFrame:
 
 
 def eve_to_ecs(events: DataFrame, ranges: DataFrame | None = None, ts: str = "timestamp") -> DataFrame:
+    """Events to the common schema; undeclared fields (``extra`` of the reader) go along as the VARIANT ``suricata.eve``."""
     events, geo = _geo(events, ranges, "src_ip", "dest_ip")
     is_alert = F.col("event_type") == "alert"
     category = F.when(is_alert, F.array(F.lit("network"), F.lit("intrusion_detection"))).otherwise(
@@ -135,6 +136,8 @@ def eve_to_ecs(events: DataFrame, ranges: DataFrame | None = None, ts: str = "ti
               **_common(F.concat(F.lit("suricata."), "event_type"), "suricata",
                         F.when(is_alert, "alert").otherwise("event"), category, None),
               **_mapped(events, EVE), **geo}
+    if "extra" in events.columns:
+        fields["suricata.eve"] = F.col("extra")
     return events.select(*_nest(fields))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from netsift.functions import text
-from netsift.operators import dga, iforest, intervals
+from netsift.operators import dga, ecs, iforest, intervals
 from netsift.plans import bind
 from netsift.plans.catalog import query
 from netsift.plans.shape import plain
@@ -182,3 +182,50 @@ def alert_coercion(spark, sf):
         F.struct(F.when(k % 4 != 0, k.cast("string")).otherwise("high").alias("severity"),
                  (9000000 + k).cast("string").alias("signature_id")).alias("alert"))
     return plain(alerts.coerce(raw).select("flow_id", "timestamp", "alert.severity", "alert.signature_id"))
+
+
+def _event_texts(spark, sf):
+    """One JSON event per row of events, with fields that the reader does not declare, at the top and inside declared objects."""
+    k, i = F.col("k"), F.col("event_id")
+    kind = F.col("event_type")
+    obj = lambda when, **fields: F.when(kind == when, F.struct(*[v.alias(n) for n, v in fields.items()]))
+    event = F.struct(
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("timestamp"), i.alias("flow_id"), F.col("src").alias("src_ip"),
+        bind._by_type("alert", "fileinfo", "http", "tls", "flow").alias("event_type"),
+        F.when(k % 3 == 0, F.array(k, k + 1)).alias("vlan"),
+        obj("click", signature=F.concat(F.lit("Signature "), k), severity=k.cast("string"),
+            metadata=F.struct(F.array(F.concat(F.lit("tag"), k)).alias("tag"))).alias("alert"),
+        obj("view", filename=F.concat(F.lit("f"), i, F.lit(".exe")), sha256=F.sha2(i.cast("string"), 256), size=k * 100).alias("fileinfo"),
+        obj("error", hostname=F.concat(F.lit("h"), k), status=F.when(k % 2 == 0, "200").otherwise("none"), xff=F.col("src")).alias("http"))
+    return bind.events(spark, sf).select(F.to_json(event).alias("value"))
+
+
+@query("event_fields", """
+SELECT event_id AS flow_id, t - t % 1000 AS timestamp_us, CASE event_type WHEN 'click' THEN 'alert' WHEN 'view' THEN 'fileinfo'
+    WHEN 'error' THEN 'http' WHEN 'signup' THEN 'tls' ELSE 'flow' END AS event_type,
+  CASE WHEN event_type = 'click' THEN 'Signature ' || k END AS signature, CASE WHEN event_type = 'click' THEN k END AS severity,
+  CASE WHEN event_type = 'click' THEN 'tag' || k END AS tag, CASE WHEN event_type = 'view' THEN 'f' || event_id || '.exe' END AS filename,
+  CASE WHEN event_type = 'view' THEN sha256(event_id::VARCHAR) END AS sha256, CASE WHEN event_type = 'view' THEN k * 100 END AS size,
+  CASE WHEN k % 3 = 0 THEN k + 1 END AS vlan, CASE WHEN event_type = 'error' THEN 'h' || k END AS hostname,
+  CASE WHEN event_type = 'error' AND k % 2 = 0 THEN 200 END::BIGINT AS status, CASE WHEN event_type = 'error' THEN src END AS xff,
+  (CASE WHEN event_type = 'click' THEN 1 ELSE 0 END + CASE WHEN event_type = 'view' THEN 1 ELSE 0 END
+   + CASE WHEN event_type = 'error' THEN 1 ELSE 0 END + CASE WHEN k % 3 = 0 THEN 1 ELSE 0 END)::BIGINT AS n_extra
+FROM ev""", ["ev"])
+def event_fields(spark, sf):
+    found = alerts.parsed(_event_texts(spark, sf))
+    names = F.coalesce(F.size(F.try_variant_get("extra", "$", "map<string,variant>")), F.lit(0)).cast("long")
+    return plain(found.select(
+        "flow_id", "timestamp", "event_type", "alert.signature", "alert.severity", alerts.field("alert.metadata.tag[0]").alias("tag"),
+        alerts.field("fileinfo.filename").alias("filename"), alerts.field("fileinfo.sha256").alias("sha256"),
+        alerts.field("fileinfo.size", "long").alias("size"), alerts.field("vlan[1]", "long").alias("vlan"), "http.hostname", "http.status",
+        alerts.field("http.xff").alias("xff"), names.alias("n_extra")))
+
+
+@query("event_files_mapped", """
+SELECT src, t - t % 1000 AS ts_us, 'suricata.fileinfo' AS dataset, sha256(event_id::VARCHAR) AS sha256 FROM ev
+WHERE event_type = 'view'""", ["ev"])
+def event_files_mapped(spark, sf):
+    mapped = ecs.eve_to_ecs(alerts.parsed(_event_texts(spark, sf)))
+    eve = mapped.select(F.col("source.ip").alias("src"), F.col("`@timestamp`").alias("ts"), F.col("event.dataset").alias("dataset"),
+                        F.col("suricata.eve").alias("extra"))
+    return plain(eve.select("src", "ts", "dataset", alerts.field("fileinfo.sha256").alias("sha256")).where("sha256 IS NOT NULL"))
