@@ -10,7 +10,7 @@ from netsift.functions import net, text
 from netsift.operators import dns as dns_ops
 from netsift.operators import ecs, enrich, incidents, intervals, panels, reports, rules, score, textmatch
 from netsift.operators.anchored import time_windows
-from netsift.plans import bind
+from netsift.plans import bind, probes
 from netsift.plans.catalog import query
 from netsift.plans.queries_intervals import GAPS, PAIR_GAPS
 from netsift.plans.queries_traffic import BASE, DAY, DAY_US, LABEL, LABELS, LOCAL
@@ -65,13 +65,48 @@ STRETCH = 144        # the synthetic events are sparse: windows are made that mu
 RULE_VIEWS = ["conn", "lan", "dns", "http", "ssl", "smb"]
 
 
-def _rule_hits() -> str:
+def _hex_holds(column: str, bytes_: str) -> str:
+    return f"regexp_matches({column}, '^(..)*{bytes_}')"
+
+
+def _hex_word(column: str, word: str) -> str:
+    """Bytes hold the word in any case."""
+    either = (sorted({c.upper().encode().hex().upper(), c.encode().hex().upper()}) for c in word)
+    return _hex_holds(column, "".join(f"({'|'.join(e)})" for e in either))
+
+
+# the rules that read payload columns or tables that only the probe logs have
+PAYLOAD_SQL = {
+    9000003: ("http", f"{HOME} AND {AWAY} AND method = 'POST' AND uri LIKE '/jquery-%' AND request_body NOT LIKE '%<%' "
+                      "AND len(request_body) > 31 AND len(request_body) < 257"),
+    9000005: ("http", f"NOT {HOME} AND {IN} AND status_code = 200 AND {_hex_holds('file_hex', 'FC4883E4F0')}"),
+    9001004: ("conn", f"{HOME} AND {IN} AND proto = 'tcp' AND id_resp_p = 135 AND {_hex_holds('payload_hex', '05000B')}"),
+    9001005: ("conn", f"{HOME} AND {IN} AND proto = 'tcp' AND id_resp_p = 445 AND substr(payload_hex, 1, 14) = hex('NTLMSSP') "
+                      "AND substr(payload_hex, 31, 8) = '01000000' AND substr(payload_hex, 95, 2) <> '00'"),
+    9001009: ("smb", f"{HOME} AND {IN} AND id_resp_p = 445 AND contains(named_pipe, '\\pipe\\') "
+                     f"AND {_hex_holds('payload_hex', b'ImpersonateNamedPipe'.hex().upper())}"),
+    9002007: ("ftp", f"{HOME} AND {AWAY} AND id_resp_p = 21 AND lower(command) = 'stor'"),
+    9003002: ("smtp", f"{HOME} AND {AWAY} AND id_resp_p = 25 AND command = 'EHLO'"),
+    9003007: ("conn", f"{HOME} AND {AWAY} AND proto = 'tcp' AND id_resp_p <> 80 AND {_hex_word('payload_hex', '/bin/sh')}"),
+    9003008: ("http", f"NOT {HOME} AND {IN} AND status_code = 200 AND {_hex_word('file_hex', 'iex')} AND {_hex_word('file_hex', 'downloadstring')}"),
+    9003009: ("http", f"NOT {HOME} AND {IN} AND status_code = 200 AND CASE WHEN contains(file_hex, 'FC4883E4F0') THEN false ELSE "
+                      "regexp_matches(decode(unhex(file_hex)), '(?i)powershell.*-enc[od]* [A-Za-z0-9+/]{100}') END"),
+    9003010: ("http", f"{HOME} AND {AWAY} AND method = 'POST' AND uri LIKE '%/api/%' AND regexp_matches(request_body, '[Ii]d=[A-Za-z0-9]{{16,}}')"),
+}
+
+
+def _probe_hits() -> str:
+    """All rules over the probe logs."""
+    return _rule_hits(RULE_SQL | PAYLOAD_SQL, "probe_", lan=False)
+
+
+def _rule_hits(sql: dict = RULE_SQL, prefix: str = "", lan: bool = True) -> str:
     parts = []
-    for sid, (table, where) in RULE_SQL.items():
-        sources = ["conn", "lan"] if table == "conn" else [table]
+    for sid, (table, where) in sql.items():
+        sources = ["conn", "lan"] if table == "conn" and lan else [table]
         for source in sources:
             clean = where if source != "lan" else where.replace("id_orig_p", "0")
-            parts.append(f"SELECT {sid} AS sid, '{source}' AS tab, t, uid, id_orig_h AS src, id_resp_h AS dst FROM {source} "
+            parts.append(f"SELECT {sid} AS sid, '{source}' AS tab, t, uid, id_orig_h AS src, id_resp_h AS dst FROM {prefix}{source} "
                          f"WHERE {clean}")
     return "hits AS (" + "\n UNION ALL ".join(parts) + ")"
 
@@ -127,6 +162,22 @@ def rule_alerts_calendar(spark, sf):
     return plain(found.select("sid", "ts", "src", "dst", "uid", "tab"))
 
 
+@query("rule_evidence", f"WITH {_probe_hits()} SELECT sid, tab, src, dst, count(*) AS n FROM hits GROUP BY ALL", probes.VIEWS)
+def rule_evidence(spark, sf):
+    hits = rules.matches(probes.tables(spark, sf), order=["uid", "tab"])
+    return hits.groupBy("sid", "tab", "src", "dst").agg(F.count("*").alias("n"))
+
+
+@query("rule_evidence_alerts", f"""
+WITH {_probe_hits()}, {_rule_limits(STRETCH)},
+n AS (SELECT h.*, kind, cnt, row_number() OVER (PARTITION BY sid, src, t - t % coalesce(width, 1) ORDER BY t, uid, tab) AS n
+      FROM hits h LEFT JOIN lim USING (sid))
+SELECT sid, t AS ts_us, src, dst, uid, tab FROM n WHERE {KEPT}""", probes.VIEWS)
+def rule_evidence_alerts(spark, sf):
+    found = rules.alerts(probes.tables(spark, sf), _stretched(), order=["uid", "tab"], anchor="calendar")
+    return plain(found.select("sid", "ts", "src", "dst", "uid", "tab"))
+
+
 # --- incidents ---------------------------------------------------------------
 
 FOLDED = """
