@@ -234,8 +234,14 @@ ALL_RULES = [*C2_RULES, *LATERAL_RULES, *EXFIL_RULES, *MALWARE_RULES, *LOCAL_RUL
 
 
 def _lookup(rules: list[Rule], value: Callable[[Rule], object], kind: str) -> Column:
-    pairs = [x for r in rules for x in (F.lit(r.sid), F.lit(value(r)).cast(kind))]
-    return F.create_map(*pairs)[col("sid")]
+    """A rule's value by ``sid``; one SQL text, since each Column call is a round trip to the JVM."""
+    def literal(v: object) -> str:
+        if v is None:
+            return "null"
+        return str(v) if not isinstance(v, str) else "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+    pairs = ", ".join(f"{r.sid}, {literal(value(r))}" for r in rules)
+    return F.expr(f"cast(map({pairs}) as map<int, {kind}>)[sid]")
 
 
 def matches(tables: dict[str, DataFrame], rules: list[Rule] = ALL_RULES, order: list[str] = ("uid",)) -> DataFrame | None:
@@ -248,10 +254,11 @@ def matches(tables: dict[str, DataFrame], rules: list[Rule] = ALL_RULES, order:
         mine = [r for r in rules if r.table == name and set(r.needs) <= set(df.columns)]
         if not mine:
             continue
-        hits = F.array_compact(F.array(*[F.when(r.predicate(), F.lit(r.sid)) for r in mine]))
+        # nulls leave after the explode: a filter on the array would run all predicates outside generated code
+        hits = F.array(*[F.when(r.predicate(), F.lit(r.sid)) for r in mine])
         located = df.withColumns({SRC_HOME: is_local(SRC), DST_HOME: is_local(DST)})
         parts.append(located.select(F.explode(hits).alias("sid"), F.lit(name).alias("table"), "ts", col(SRC).alias("src"),
-                               col(DST).alias("dst"), *order))
+                               col(DST).alias("dst"), *order).where("sid IS NOT NULL"))
     return reduce(DataFrame.unionByName, parts) if parts else None
 
 
