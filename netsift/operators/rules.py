@@ -254,7 +254,7 @@ def matches(tables: dict[str, DataFrame], rules: list[Rule] = ALL_RULES, order:
         mine = [r for r in rules if r.table == name and set(r.needs) <= set(df.columns)]
         if not mine:
             continue
-        # nulls leave after the explode: a filter on the array would run all predicates outside generated code
+        # nulls leave after the explode, without a lambda over the array
         hits = F.array(*[F.when(r.predicate(), F.lit(r.sid)) for r in mine])
         located = df.withColumns({SRC_HOME: is_local(SRC), DST_HOME: is_local(DST)})
         parts.append(located.select(F.explode(hits).alias("sid"), F.lit(name).alias("table"), "ts", col(SRC).alias("src"),
