@@ -627,7 +627,7 @@ def host_timeline(spark, sf):
 SELECT page_id, to_base64(encode(url)) AS label, url AS decoded FROM hosts WHERE len(to_base64(encode(url))) >= 20
   AND regexp_matches(to_base64(encode(url)), '^[A-Za-z0-9+/]{20,}={0,2}$')""", ["hosts"])
 def decoded_labels(spark, sf):
-    named = bind.hosts(spark, sf).select("page_id", F.base64(F.col("url").cast("binary")).alias("label")).withColumn(
+    named = bind.hosts(spark, sf).select("page_id", text.base64_text("url").alias("label")).withColumn(
         "query", F.concat("label", F.lit(".exfil.example.org")))
     return reports.decoded_labels(named).select("page_id", "label", "decoded")
 

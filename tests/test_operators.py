@@ -107,6 +107,16 @@ def test_decode_label(spark):
         "hello-world-eastside-project-5", None, None]
 
 
+def test_long_url_labels_stay_one_line(spark):
+    import base64
+    urls = ["https://example.org/" + "a" * 60, "https://x.org/abcdefghijklmnopqrstuvwxyz"]
+    df = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "page_id long, url string").select(
+        "page_id", text.base64_text("url").alias("label"))
+    assert [r.label for r in df.orderBy("page_id").collect()] == [base64.b64encode(u.encode()).decode() for u in urls]
+    named = df.withColumn("query", F.concat("label", F.lit(".exfil.example.org")))
+    assert [r.decoded for r in reports.decoded_labels(named).orderBy("page_id").collect()] == urls
+
+
 def dns_log(spark, rcodes, step=1):
     rows = [(float(i * step), i, r) for i, r in enumerate(rcodes)]
     return spark.createDataFrame(rows, "s double, uid long, rcode long").select(
