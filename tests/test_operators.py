@@ -231,3 +231,13 @@ def test_beacon_report_file(spark, tmp_path):
     body = "\n".join(r.value for r in spark.read.text(str(tmp_path / "r")).collect())
     assert "| 1 | 192.168.1.5 | 203.0.113.9 | 443 | 12 | 60.0s | 0.0000 | **100.0%** |" in body
     assert reports.confidence_bands(found).first().band == "Critical"
+
+
+def test_text_entropy_counts_each_code_point_once(spark):
+    texts = [None, "", "aaaa", "abab", "ab\U0001F600\U0001F600" * 500 + "é", "".join(map(chr, range(0x400, 0x600))) * 3]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = [r.e for r in df.orderBy("doc_id").select(text.text_entropy("text").alias("e")).collect()]
+    plain = [r.e for r in df.orderBy("doc_id").select(text.entropy("text").alias("e")).collect()]
+    expect = [None, 0.0, 0.0, 1.0] + [-sum(c / len(t) * math.log2(c / len(t)) for c in Counter(t).values()) for t in texts[4:]]
+    assert got[:4] == expect[:4] and all(abs(g - e) < 1e-9 for g, e in zip(got[4:], expect[4:]))
+    assert got[:4] == plain[:4] and abs(got[5] - plain[5]) < 1e-9
