@@ -82,8 +82,10 @@ def training_bags(docs: DataFrame, label: str, per_label: int, features: Feature
     rows = usable.select(*columns).join(F.broadcast(chosen), on)
     bags = kernel.map_texts(rows, lambda: features.bags, "idx binary, share binary", keep=("doc_id", label))
     one = bags.groupBy("doc_id", label).agg(F.min(F.struct("idx", "share")).alias("bag"))
-    got = one.select("doc_id", F.col(label).alias("label"), "bag.idx", "bag.share").collect()
-    return sorted(got, key=lambda r: (r["doc_id"], str(r["label"])))
+    # in doc_id order, one partition at a time: the driver never holds all bags twice, nor the JVM all at once
+    got = one.select("doc_id", F.col(label).alias("label"), "bag.idx", "bag.share").orderBy(
+        "doc_id", F.col("label").cast("string"))
+    return list(got.toLocalIterator(prefetchPartitions=False))
 
 
 def ragged(rows: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -507,3 +507,19 @@ def test_grammar_refuses_ids_that_do_not_fit(vocabulary, number):
 
     with pytest.raises(ValueError):
         repair.pack_shard(pa.array([1]), [np.array([1, number], np.uint32)], vocabulary, 2)
+
+
+def test_training_bags_reach_the_driver_without_a_collect(spark, monkeypatch):
+    from pyspark.sql import DataFrame
+
+    rows = [(i, f"word{i % 7} other{i % 3} text {i}", i % 2) for i in range(200, 0, -1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, q int")
+
+    def refuse(self):
+        raise AssertionError("training bags must not be collected whole")
+
+    monkeypatch.setattr(DataFrame, "collect", refuse)
+    got = hashed.training_bags(df, "q", 40, hashed.Features(12))
+    assert len(got) == 80 and sorted(r["label"] for r in got) == [0] * 40 + [1] * 40
+    assert [r["doc_id"] for r in got] == sorted(r["doc_id"] for r in got)
+    assert all(len(r["idx"]) == len(r["share"]) > 0 for r in got)
