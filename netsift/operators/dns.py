@@ -267,11 +267,18 @@ def sensor_nxdomain_ratio(dns: DataFrame, ratio: float = 0.70, min_queries: int
         for table in whole_groups(batches):
             starts, ends, _ = group_bounds(table)
             level, missed = table.column("run").to_numpy(), table.column("nx").to_numpy()
-            for s, e in zip(starts.tolist(), ends.tolist()):
-                at, up, bad, total = _cell_summary(level[s:e], missed[s:e], min_queries, table.column("reach")[s].as_py())
-                more = {"at": at, "up": up, "bad": bad, "total": total, "gain": np.full(len(at), level[e - 1]),
-                        "size": np.full(len(at), e - s), "failed": np.full(len(at), int(missed[s:e].sum()))}
-                yield from emit(table, np.full(len(at), s), CELL, **more)
+            reach = table.column("reach").to_numpy()
+            failed = np.concatenate([[0], np.cumsum(missed, dtype=np.int64)])
+            # one batch per table: a batch per cell costs far more than the cell's own work
+            parts = [(s, e, _cell_summary(level[s:e], missed[s:e], min_queries, int(reach[s])))
+                     for s, e in zip(starts.tolist(), ends.tolist())]
+            counts = np.array([len(p[2][0]) for p in parts], dtype=np.int64)
+            first, last = np.array([p[0] for p in parts], np.int64), np.array([p[1] for p in parts], np.int64)
+            more = {name: np.concatenate([p[2][i] for p in parts]).astype(np.int64)
+                    for i, name in enumerate(("at", "up", "bad", "total"))}
+            more |= {"gain": np.repeat(level[last - 1], counts), "size": np.repeat(last - first, counts),
+                     "failed": np.repeat(failed[last] - failed[first], counts)}
+            yield from emit(table, np.repeat(first, counts), CELL, **more)
 
     steps = ordered(live, CELL, ["ts", *order]).mapInArrow(
         summaries, "_k string, win_start long, _cell int, at long, up long, bad long, total long, gain long, size long, failed long")
